@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harness.fixtures import Given
-from souklake.operators import gold
+from souklake.functions import values
+from souklake.operators import gold, synth
+from souklake.schemas import Domain
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,3 +56,65 @@ def _(given: Given) -> DataFrame:
 @query("product_performance")
 def _(given: Given) -> DataFrame:
     return rounded(gold.product_performance(given.products(), given.items()), gross_revenue=2)
+
+
+# synthesis ----------------------------------------------------------------------------------
+# Row numbers come from the keys of a given table, so the work grows with it.
+
+NUMBERS: dict[str, tuple[str, str]] = {
+    "markets": ("nation", "n_nationkey"),
+    "vendors": ("supplier", "s_suppkey"),
+    "buyers": ("customer", "c_custkey"),
+    "products": ("part", "p_partkey"),
+    "transactions": ("orders", "o_orderkey"),
+    "transaction_products": ("orders", "o_orderkey"),
+    "BuyerSessionAnalytics": ("events", "event_id"),
+    "PaymentProcessingEvents": ("orders", "o_orderkey"),
+    "risk_analytics": ("orders", "o_orderkey"),
+    "RiskModelPredictions": ("orders", "o_orderkey"),
+}
+SHORT = {
+    "markets": "markets",
+    "vendors": "vendors",
+    "buyers": "buyers",
+    "products": "products",
+    "transactions": "transactions",
+    "transaction_products": "items",
+    "BuyerSessionAnalytics": "sessions",
+    "PaymentProcessingEvents": "payments",
+    "risk_analytics": "risk",
+    "RiskModelPredictions": "predictions",
+}
+# Payments and predictions go round the first 1,000 transactions here, so that they repeat.
+SMALL_CYCLE = Domain(reference_rows=1_000)
+
+
+def numbers(given: Given, table: str) -> DataFrame:
+    source, key = NUMBERS[table]
+    number = F.col(key).cast("bigint") + 1
+    if table == "transaction_products":
+        return given.raw(source).select(
+            F.explode(F.array(2 * number - 1, 2 * number)).alias("i")
+        )
+    return given.raw(source).select(number.alias("i"))
+
+
+def history(given: Given, table: str) -> DataFrame:
+    return synth.history_rows(numbers(given, table), table, SMALL_CYCLE)
+
+
+def seeds(given: Given, table: str) -> DataFrame:
+    if table == "products":
+        vendor = F.col("s_suppkey").cast("bigint")
+        rows = given.raw("supplier").select(
+            F.explode(F.sequence(4 * vendor + 1, 4 * vendor + 4)).alias("i")
+        )
+    else:
+        rows = numbers(given, table)
+    return synth.seed_rows(rows, table, values.timestamp("2025-06-01"))
+
+
+for _table, _short in SHORT.items():
+    query(f"synth_{_short}")(lambda given, table=_table: history(given, table))
+for _table in ("markets", "vendors", "buyers", "products"):
+    query(f"seed_{_table}")(lambda given, table=_table: seeds(given, table))
