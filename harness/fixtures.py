@@ -12,6 +12,14 @@ from souklake.functions.keys import padded, pick
 from souklake.functions.values import ratio
 
 
+def live_id(prefix: str, kind: str, number: Column) -> Column:
+    """A live identifier: uuid-shaped digest of the number."""
+    digest = F.md5(F.concat(F.lit(f"{kind}:"), number.cast("string")))
+    places = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    uuid = F.concat_ws("-", *[F.substring(digest, start, length) for start, length in places])
+    return F.concat(F.lit(f"{prefix}-LIVE-"), uuid)
+
+
 class Given:
     """Lazy views over one test-data directory."""
 
@@ -201,6 +209,97 @@ class Given:
             .alias("prediction_timestamp"),
         )
 
+    # operational events ---------------------------------------------------------------------
+
+    def purchases(self) -> DataFrame:
+        """A live purchase per order that has lines; its lowest supplier is the vendor."""
+        key, customer = F.col("o_orderkey"), F.col("o_custkey")
+        probability = F.least(F.lit(0.99), ratio((key * 17) % 1000, 1000))
+        return self.raw("orders").join(
+            self.order_vendor(), F.col("o_orderkey") == F.col("l_orderkey")
+        ).select(
+            live_id("EVT", "purchase", key).alias("event_code"),
+            live_id("PPE", "payment", key).alias("payment_id"),
+            F.timestamp_add("SECOND", key % 86400, F.col("o_orderdate")).alias("purchased_at"),
+            padded("PLAT-", 1 + key % 10, 3).alias("platform_key"),
+            padded("SELLER-", F.col("sk") + 1, 6).alias("vendor_key"),
+            padded("BUYER-", customer + 1, 7).alias("buyer_key"),
+            pick(key, "NA", "EU", "APAC", "LATAM").alias("origin"),
+            pick(customer, "NA", "EU", "APAC", "LATAM").alias("destination"),
+            F.col("o_totalprice").alias("amount"),
+            probability.alias("fraud_probability"),
+            pick(key, "normal", "elevated", "burst").alias("velocity"),
+            ratio((key * 37) % 10_000, 100).cast("string").alias("geo_score"),
+            pick(customer, "card", "wallet", "bank_transfer").alias("payment_method"),
+            pick(key, "nova-pay", "orbit-pay").alias("processor"),
+            F.upper(F.substring(F.md5(key.cast("string")), 1, 12)).alias("authorization_code"),
+            (customer % 4 != 0).alias("three_ds"),
+            (25 + key % 876).alias("processing_time_ms"),
+            (key % 6).alias("risk_indicators"),
+            (key % 9).alias("linked_events"),
+            (1 + key % 5).alias("chain_length"),
+            (1 + key % 2500).alias("wallet_age_days"),
+        )
+
+    def visits(self) -> DataFrame:
+        key, kind = F.col("event_id"), F.col("event_type")
+        return self.raw("events").select(
+            live_id("BSA", "session", key).alias("session_id"),
+            padded("BUYER-", F.col("user_id") + 1, 7).alias("buyer_key"),
+            F.col("ts").alias("started_at"),
+            (8 + key % 1793).alias("duration"),
+            (1 + key % 35).alias("pages"),
+            (key % 15).alias("products_wanted"),
+            (F.col("user_id") % 5).alias("additions_wanted"),
+            kind.isin("click", "purchase", "view").alias("wants_checkout"),
+            kind.isin("purchase", "view").alias("completes_checkout"),
+            (key % 9).alias("searches"),
+            pick(key, "direct", "search", "affiliate", "social").alias("referral"),
+            pick(key, "mobile", "desktop", "tablet").alias("device"),
+            pick(key, "NA", "EU", "APAC", "LATAM").alias("region"),
+            F.col("value").alias("scroll_depth"),
+            (key % 3).alias("errors"),
+            (8 + key % 113).cast("double").alias("value_per_product"),
+        )
+
+    def scores(self) -> DataFrame:
+        """Scores of the live purchases."""
+        key = F.col("o_orderkey")
+
+        def share(factor: int) -> Column:
+            return ratio((key * factor) % 1000, 1000)
+
+        return self.raw("orders").select(
+            live_id("RMP", "prediction", key).alias("prediction_id"),
+            live_id("EVT", "purchase", key).alias("event_code"),
+            F.timestamp_add("SECOND", key % 86400 + 60, F.col("o_orderdate")).alias("predicted_at"),
+            F.least(F.lit(0.99), share(13)).alias("probability"),
+            (0.65 + ratio(key % 340, 1000)).alias("confidence"),
+            pick(key, "velocity", "amount", "device", "behavior").alias("top_factor"),
+            (1 + key % 8).alias("factors"),
+            share(3).alias("velocity_weight"),
+            share(5).alias("amount_weight"),
+            share(7).alias("device_weight"),
+            share(11).alias("behavior_weight"),
+            (2 + key % 94).alias("latency_ms"),
+            (0.6 + ratio(key % 400, 1000)).alias("agreement"),
+            share(2).alias("drift"),
+        )
+
+    def settlements(self) -> DataFrame:
+        """Payment updates: the first line of the order numbered like the user."""
+        return self.raw("events").select(
+            padded("PPE-HIST-", F.col("user_id") * 1000 + 1, 14).alias("payment_id"),
+            F.col("ts").alias("settled_at"),
+            (5 + F.col("event_id") % 116).alias("latency_ms"),
+        )
+
+    def completions(self) -> DataFrame:
+        return self.raw("events").select(
+            padded("EVT-HIST-", F.col("user_id"), 14).alias("event_code"),
+            F.col("ts").alias("completed_at"),
+        )
+
     # change feed ----------------------------------------------------------------------------
 
     def changes(self) -> DataFrame:
@@ -251,5 +350,3 @@ def change_feed(events: DataFrame) -> DataFrame:
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
-
-__all__ = ["Given", "change_feed", "pick", "union_all"]

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, LongType, StructType
 
 from harness.fixtures import Given
-from souklake.functions import values
-from souklake.operators import gold, synth
-from souklake.schemas import Domain
+from souklake.functions import documents, values
+from souklake.operators import changes, gold, mutations, silver, synth
+from souklake.schemas import DIMENSIONS, FACTS, TABLES, Domain
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -118,3 +119,206 @@ for _table, _short in SHORT.items():
     query(f"synth_{_short}")(lambda given, table=_table: history(given, table))
 for _table in ("markets", "vendors", "buyers", "products"):
     query(f"seed_{_table}")(lambda given, table=_table: seeds(given, table))
+
+
+# operational events -------------------------------------------------------------------------
+
+
+@query("vendor_first_products")
+def _(given: Given) -> DataFrame:
+    return mutations.vendor_first_products(seeds(given, "products"))
+
+
+@query("purchase_fanout")
+def _(given: Given) -> DataFrame:
+    return mutations.purchase_changes(given.purchases())
+
+
+def live(given: Given, table: str) -> DataFrame:
+    """Operational facts: what the live events insert."""
+    if table == "transaction_products":
+        return mutations.purchase_items(given.purchases(), seeds(given, "products"))
+    build, events = {
+        "transactions": (mutations.purchase_transactions, given.purchases),
+        "BuyerSessionAnalytics": (mutations.session_rows, given.visits),
+        "PaymentProcessingEvents": (mutations.purchase_payments, given.purchases),
+        "risk_analytics": (mutations.purchase_risk, given.purchases),
+        "RiskModelPredictions": (mutations.prediction_rows, given.scores),
+    }[table]
+    return build(events())
+
+
+for _table in ("transactions", "transaction_products", "PaymentProcessingEvents", "risk_analytics"):
+    query(f"purchase_{SHORT[_table]}")(lambda given, table=_table: live(given, table))
+query("session_features")(lambda given: live(given, "BuyerSessionAnalytics"))
+query("risk_bucket")(lambda given: live(given, "RiskModelPredictions"))
+
+
+@query("insert_if_absent")
+def _(given: Given) -> DataFrame:
+    """Seed vendors 6 … n+5 into the vendors 1 … n that history has."""
+    shifted = given.raw("supplier").select((F.col("s_suppkey") + 6).alias("i"))
+    incoming = synth.seed_rows(shifted, "vendors", values.timestamp("2025-06-01"))
+    return mutations.insert_if_absent(history(given, "vendors"), incoming, ("SellerKey",))
+
+
+@query("buyer_counter_update")
+def _(given: Given) -> DataFrame:
+    updated = mutations.count_buyer_purchases(history(given, "buyers"), given.purchases())
+    profile = F.col("buyer_risk_profile")
+    return updated.select(
+        "AcqCode",
+        "ProfileAge",
+        "PurchaseCount",
+        "AuthLevel",
+        F.get_json_object(profile, "$.fingerprint").alias("fingerprint"),
+        documents.number_at(profile, "$.score").alias("score"),
+        F.get_json_object(profile, "$.last_purchase_at").alias("last_purchase_at"),
+    )
+
+
+@query("vendor_counter_update")
+def _(given: Given) -> DataFrame:
+    return mutations.count_vendor_sales(given.vendors(), given.purchases())
+
+
+@query("payment_settle")
+def _(given: Given) -> DataFrame:
+    return mutations.settle_payments(given.payments(), given.settlements())
+
+
+def _financials(frame: DataFrame, document: str, *fields: str) -> DataFrame:
+    return frame.select(
+        "EventCode", *[F.get_json_object(document, f"$.{field}").alias(field) for field in fields]
+    )
+
+
+@query("transaction_status_patch")
+def _(given: Given) -> DataFrame:
+    patched = mutations.complete_transactions(given.transactions(), given.completions())
+    return _financials(
+        patched, "transaction_financials", "amount", "currency", "status", "updated_at"
+    )
+
+
+@query("json_merge")
+def _(given: Given) -> DataFrame:
+    patch = documents.build(status=F.lit("reviewed"), trace=F.md5("EventCode"))
+    merged = given.transactions().withColumn(
+        "merged", documents.merge(F.col("transaction_financials"), patch)
+    )
+    return _financials(merged, "merged", "amount", "currency", "status", "trace")
+
+
+@query("recent_payments")
+def _(given: Given) -> DataFrame:
+    return mutations.recent_payments(given.transactions(), given.payments())
+
+
+# change feed --------------------------------------------------------------------------------
+
+DATABASE = "market"
+IMAGE = StructType().add("id", LongType()).add("amount", DecimalType(18, 2))
+
+
+def envelopes(given: Given) -> DataFrame:
+    return changes.envelope(given.changes(), DATABASE, F.col("ingested_at"))
+
+
+@query("cdc_envelope")
+def _(given: Given) -> DataFrame:
+    return envelopes(given).select(
+        "schema_version",
+        "event_id",
+        "ingested_at",
+        "source.connector",
+        "source.service",
+        "source.database",
+        "source.lsn",
+        "source.xid",
+        "change",
+        "table",
+    )
+
+
+@query("cdc_route")
+def _(given: Given) -> DataFrame:
+    return envelopes(given).groupBy("table").agg(F.count(F.lit(1)).alias("changes"))
+
+
+query("cdc_batch_stats")(lambda given: changes.batch_stats(envelopes(given)))
+
+
+@query("cdc_dedup")
+def _(given: Given) -> DataFrame:
+    return changes.deduplicate(envelopes(given)).select(
+        "event_id", "table", "ingested_at", "source.lsn", "change"
+    )
+
+
+@query("cdc_flatten")
+def _(given: Given) -> DataFrame:
+    return changes.flatten(envelopes(given), IMAGE).select(
+        "event_id",
+        "table",
+        "action",
+        "position",
+        F.col("new.id").alias("new_id"),
+        F.col("new.amount").alias("new_amount"),
+        F.col("old.id").alias("old_id"),
+        F.col("old.amount").alias("old_amount"),
+    )
+
+
+@query("cdc_current_state")
+def _(given: Given) -> DataFrame:
+    return changes.current_rows(envelopes(given), IMAGE, ("id",), by_table=True)
+
+
+# silver -------------------------------------------------------------------------------------
+
+
+def snapshot(given: Given, table: str) -> DataFrame:
+    return seeds(given, table) if table in DIMENSIONS else live(given, table)
+
+
+def silver_tables(given: Given) -> dict[str, DataFrame]:
+    return silver.silver_tables(
+        {table: history(given, table) for table in FACTS},
+        {table: snapshot(given, table) for table in TABLES},
+    )
+
+
+for _table in TABLES:
+    query(f"silver_{SHORT[_table]}")(
+        lambda given, table=_table: silver.silver_table(
+            table, history(given, table), snapshot(given, table)
+        )
+    )
+
+
+@query("silver_json_as_text")
+def _(given: Given) -> DataFrame:
+    """History whose JSON column arrives parsed."""
+    parsed = history(given, "risk_analytics").withColumn(
+        "wallet_risk_assessment",
+        F.from_json("wallet_risk_assessment", "wallet_hash string, age_days bigint"),
+    )
+    return silver.json_as_text(parsed, "risk_analytics")
+
+
+@query("json_canonical")
+def _(given: Given) -> DataFrame:
+    return silver.canonical_snapshot(history(given, "transactions"), "transactions").select(
+        "EventCode", "transaction_financials"
+    )
+
+
+@query("silver_gate")
+def _(given: Given) -> DataFrame:
+    tables = silver_tables(given)
+    snapshots = silver.table_counts({table: snapshot(given, table) for table in TABLES})
+    histories = silver.table_counts({table: history(given, table) for table in FACTS})
+    return silver.count_gate(
+        silver.table_counts(tables), silver.expected_counts(snapshots, histories)
+    )

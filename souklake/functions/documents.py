@@ -1,28 +1,79 @@
-"""JSON text: canonical form, shallow merge, amounts."""
+"""JSON text: canonical form, shallow merge, amounts.
+
+Members are told apart by their variant type, but numbers are taken from the text: a variant
+stores 12.0 as 12, and the text of a number is part of the stored value here.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_OBJECT = "map<string,variant>"
+_NUMBER = r"\A(?:TINYINT|SMALLINT|INT|BIGINT|DECIMAL|FLOAT|DOUBLE)"
+
+
+def _texts(document: Column) -> Column:
+    return F.from_json(document, "map<string,string>")
+
+
+def _variants(document: Column) -> Column:
+    return F.from_json(document, "map<string,variant>")
+
+
+def _quoted(text: Column) -> Column:
+    boxed = F.to_json(F.array(text))
+    return F.substr(boxed, F.lit(2), F.length(boxed) - 2)
+
 
+def _member(document: Column, number: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    """Text of a member's value, by member name."""
+    texts, variants = _texts(document), _variants(document)
 
-def canonical(text: Column) -> Column:
-    """Sorted keys at every depth and no blanks; NULL for NULL or malformed text."""
-    return F.to_json(F.try_parse_json(text))
+    def value(name: Column) -> Column:
+        found = F.try_element_at(variants, name)
+        return F.when(
+            F.schema_of_variant(found).rlike(_NUMBER), number(F.try_element_at(texts, name))
+        ).otherwise(F.coalesce(F.to_json(found), F.lit("null")))
+
+    return value
+
+
+def _object(names: Column, value: Callable[[Column], Column]) -> Column:
+    members = F.transform(names, lambda name: F.concat(_quoted(name), F.lit(":"), value(name)))
+    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
+
+
+def _plain_number(text: Column) -> Column:
+    """Whole numbers as they are, others as the shortest text of their double."""
+    whole = text.rlike(r"\A-?[0-9]+\z")
+    return F.when(whole, text).otherwise(text.try_cast("double").cast("string"))
+
+
+def canonical(document: Column) -> Column:
+    """Sorted keys and no blanks; NULL for NULL or malformed text."""
+    names = F.array_sort(F.map_keys(_texts(document)))
+    sorted_object = _object(names, _member(document, _plain_number))
+    return F.coalesce(sorted_object, F.to_json(F.try_parse_json(document)))
 
 
 def merge(left: Column, right: Column) -> Column:
-    """Shallow merge of two JSON objects; the right side wins, NULL if either is NULL."""
-    base, patch = F.from_json(left, _OBJECT), F.from_json(right, _OBJECT)
-    kept = F.map_filter(base, lambda key, _: ~F.array_contains(F.map_keys(patch), key))
-    return F.to_json(F.map_concat(kept, patch))
+    """Shallow merge of two JSON objects; the right side wins, NULL if either is NULL.
+
+    Members keep the place they have on the left, new ones follow.
+    """
+    new = F.map_keys(_texts(right))
+    base, patch = _member(left, lambda text: text), _member(right, lambda text: text)
+    names = F.array_union(F.map_keys(_texts(left)), new)
+    return _object(
+        names, lambda name: F.when(F.array_contains(new, name), patch(name)).otherwise(base(name))
+    )
 
 
-def number_at(text: Column, path: str) -> Column:
+def number_at(document: Column, path: str) -> Column:
     """Number (or numeric text) at a path as double, NULL when it is neither."""
-    value = F.get_json_object(text, path)
+    value = F.get_json_object(document, path)
     # A Java type suffix ("1d", "2f") is no number in JSON or SQL text.
     return F.when(~value.rlike(r"[0-9.][dDfF]\s*\z"), value.try_cast("double"))
 

@@ -189,7 +189,10 @@ SILVER_VIEWS = {
     "RiskModelPredictions": "silver_predictions",
 }
 
-SOURCE = _schema("connector string, service string, database string, lsn string, xid string")
+# `ordinal` is the capture order of changes that share an LSN; NULL when the capture has none.
+SOURCE = _schema(
+    "connector string, service string, database string, lsn string, xid string, ordinal bigint"
+)
 ENVELOPE = (
     StructType()
     .add("schema_version", IntegerType())
