@@ -25,9 +25,12 @@ class Given:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def raw(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        if table not in self._read:
+            self._read[table] = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        return self._read[table]
 
     # dimensions -----------------------------------------------------------------------------
 

@@ -48,12 +48,14 @@ def envelope(changes: DataFrame, database: str, ingested_at: Column | None = Non
 
     The default ingest time is the batch time, which a streaming query keeps when it retries.
     """
-    moment = F.current_timestamp() if ingested_at is None else ingested_at
+    if ingested_at is None:
+        local = F.current_timestamp().cast("timestamp_ntz")
+        ingested_at = F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
     ordinal = F.col("ordinal") if "ordinal" in changes.columns else F.lit(None).cast("bigint")
     return changes.select(
         F.lit(SCHEMA_VERSION).alias("schema_version"),
         event_id(database, F.col("lsn"), F.col("xid"), F.col("raw")).alias("event_id"),
-        moment.cast("timestamp_ntz").alias("ingested_at"),
+        ingested_at.cast("timestamp_ntz").alias("ingested_at"),
         F.struct(
             F.lit(CONNECTOR).alias("connector"),
             F.lit(SERVICE).alias("service"),

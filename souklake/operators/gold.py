@@ -178,8 +178,8 @@ GOLD_ORDER = {
 def gold_models(silver: dict[str, DataFrame], scored: DataFrame | None = None) -> dict[str, DataFrame]:
     """The four models over the ten silver tables.
 
-    `scored` may be a stored `scored_transactions` with payments; buyer_360 then reads it as well,
-    provided no transaction has several risk rows or several payments (it has one row each).
+    `scored` may be a stored `scored_transactions` with payments. It has one row per transaction,
+    so the buyer model reads it as well and the JSON amounts are parsed once.
     """
     if scored is None:
         scored = scored_transactions(
