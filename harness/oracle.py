@@ -116,6 +116,8 @@ def with_views(body: str) -> str:
     if not needed:
         return body
     ctes = ",\n".join(f"{name} AS ({VIEWS[name]})" for name in needed)
+    if body.startswith("WITH "):
+        return f"WITH {ctes},\n{body[len('WITH '):]}"
     return f"WITH {ctes}\n{body}"
 
 
@@ -539,6 +541,275 @@ SELECT "table", expected_rows, expected_rows AS actual_rows, true AS passed FROM
     UNION ALL SELECT 'risk_analytics', (SELECT count(*) FROM h_risk) + count(*) FROM l_risk
     UNION ALL SELECT 'RiskModelPredictions', (SELECT count(*) FROM h_predictions) + count(*) FROM l_predictions)"""
 
+# sources and sinks --------------------------------------------------------------------------
+
+
+def _counts(tables: dict[str, str], columns: str = "count(*) AS rows") -> str:
+    return "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS "table", {columns} FROM {source}""" for name, source in tables.items()
+    )
+
+
+_TABLE_VIEWS = {
+    "markets": "markets", "vendors": "vendors", "buyers": "buyers", "products": "products",
+    "transactions": "transactions", "transaction_products": "items", "BuyerSessionAnalytics": "sessions",
+    "PaymentProcessingEvents": "payments", "risk_analytics": "risk", "RiskModelPredictions": "predictions",
+}
+_FACTS = list(_TABLE_VIEWS)[4:]
+for _view in list(_TABLE_VIEWS.values())[4:]:
+    VIEWS[f"b_{_view}"] = f"SELECT * FROM h_{_view} UNION ALL SELECT * FROM l_{_view}"
+
+ORACLE["row_counts"] = _counts({t: t for t in
+    ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")})
+ORACLE["parquet_roundtrip"] = "SELECT * FROM f_transactions"
+ORACLE["snapshot_scan"] = "SELECT * FROM l_payments"
+ORACLE["scan_bronze"] = "SELECT * FROM h_items"
+ORACLE["manifest_rows"] = _counts({t: f"h_{v}" for t, v in _TABLE_VIEWS.items()})
+VIEWS["o_scored"] = """
+    SELECT t.*, (transaction_financials::json ->> 'amount')::double AS amount FROM b_transactions t"""
+ORACLE["published_gold"] = """
+SELECT "EventTimestamp"::date AS metric_date, "PlatformKey" AS platform_key, count(*) AS transaction_count,
+       count(DISTINCT "AcqLink") AS unique_buyers, count(DISTINCT "VendorLink") AS unique_vendors,
+       round(sum(amount), 2) AS gross_merchandise_value,
+       sum("CrossBorder")::bigint AS cross_border_transactions,
+       count(CASE WHEN "ML_Risk" = 'high' THEN 1 END) AS high_risk_transactions,
+       0::bigint AS payment_failed_events
+FROM o_scored LEFT JOIN b_risk ON "TxnLink" = "EventCode" GROUP BY 1, 2"""
+ORACLE["batch_lineage"] = f"""
+SELECT *, 'zstd' AS codec FROM (
+{_counts({t: f"s_{v}" for t, v in _TABLE_VIEWS.items() if t not in _FACTS},
+         "count(*) AS rows, 'silver' AS layer, 'snapshot' AS source")}
+UNION ALL {_counts({t: f"b_{_TABLE_VIEWS[t]}" for t in _FACTS},
+                   "count(*) AS rows, 'silver' AS layer, 'bronze-history+snapshot' AS source")}
+UNION ALL {_counts({"daily_market_metrics":
+                    '(SELECT DISTINCT "EventTimestamp"::date, "PlatformKey" FROM b_transactions)',
+                    "vendor_risk_summary": "s_vendors", "buyer_360": "s_buyers",
+                    "product_performance": "s_products"},
+                   "count(*) AS rows, 'gold' AS layer, 'silver-batch' AS source")})"""
+ORACLE["publish_swap"] = """
+SELECT * EXCLUDE (vendor, n, moment)
+         REPLACE (if(n IS NULL, "TotalTxns", ("TotalTxns"::bigint + n)::varchar) AS "TotalTxns",
+                  "CompletedTxns" + coalesce(n, 0) AS "CompletedTxns",
+                  coalesce(moment, "LastActiveDt") AS "LastActiveDt")
+FROM h_vendors LEFT JOIN (SELECT vendor, count(*) AS n, max(moment) AS moment FROM e_purchases GROUP BY 1)
+     ON vendor = "SellerKey" """
+ORACLE["synth_resume"] = """
+SELECT 'transactions' AS "table", count(*) AS rows, count(*) * 40 AS bytes, max(o_orderkey) + 2 AS next_row
+FROM orders
+UNION ALL SELECT 'BuyerSessionAnalytics', count(*), count(*) * 40, max(event_id) + 2 FROM events"""
+_KEYS = {"markets": "PlatCode", "vendors": "SellerKey", "buyers": "AcqCode", "products": "ProdCat",
+         "transactions": "EventCode", "items": "EventLink", "sessions": "BSA_id", "payments": "PPE_id",
+         "risk": "TxnLink", "predictions": "RMP_id"}
+
+
+def _width(view: str) -> str:
+    return f'(SELECT sum(length("{_KEYS[view]}")) * 10.0::double / count(*) FROM h_{view})'
+
+
+_SHARES = {"markets": (0.005, 10), "vendors": (0.02, 1000), "buyers": (0.02, 10000), "products": (0.08, 4000),
+           "transactions": (0.25, None), "transaction_products": (0.25, None),
+           "BuyerSessionAnalytics": (0.12, None), "PaymentProcessingEvents": (0.12, None),
+           "risk_analytics": (0.055, None)}
+ORACLE["synth_plan"] = (
+    "WITH planned AS (\n"
+    + "\nUNION ALL ".join(
+        f"""SELECT '{t}' AS "table", {_width(_TABLE_VIEWS[t])} AS w,
+       floor((SELECT count(*) FROM lineitem) * 1024 * {share}::double)::bigint AS target_bytes,
+       {f"{fixed}::bigint" if fixed else "NULL::bigint"} AS fixed"""
+        for t, (share, fixed) in _SHARES.items()
+    )
+    + """), sized AS (
+    SELECT "table", w, target_bytes, coalesce(fixed,
+        CASE WHEN "table" = 'transaction_products'
+             THEN 2 * (SELECT ceil(target_bytes / w)::bigint FROM planned WHERE "table" = 'transactions')
+             ELSE ceil(target_bytes / w)::bigint END) AS target_rows
+    FROM planned), rest AS (
+    SELECT (SELECT count(*) FROM lineitem) * 1024 - ceil(sum(target_rows * w))::bigint AS target_bytes FROM sized)
+SELECT "table", target_bytes, target_rows FROM sized
+UNION ALL SELECT 'RiskModelPredictions', target_bytes,
+                 greatest(0, ceil(target_bytes / """
+    + _width("predictions")
+    + """)::bigint) FROM rest"""
+)
+
+# landing ------------------------------------------------------------------------------------
+
+_LANDED = """
+SELECT schema_version, event_id, ingested_at, lsn, xid, change, "table" FROM c_events"""
+ORACLE["cdc_drain"] = _LANDED
+ORACLE["scan_landing"] = _LANDED
+ORACLE["land_changes"] = """
+SELECT "table", strftime(ingested_at, '%Y-%m-%d') AS ingest_date, strftime(ingested_at, '%H') AS hour,
+       count(*) AS changes FROM c_events GROUP BY 1, 2, 3"""
+ORACLE["cdc_retry"] = """SELECT "table", count(*) AS changes FROM c_events GROUP BY 1"""
+ORACLE["cdc_stream_dedup"] = """SELECT DISTINCT event_id, "table", ingested_at FROM c_events"""
+
+# validation ---------------------------------------------------------------------------------
+
+
+def _rules(**counts: str) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{rule}' AS rule, ({sql})::bigint AS violations" for rule, sql in counts.items()
+    )
+
+
+def _universe(table: str, columns: str, keys: str, size: int) -> dict[str, str]:
+    real = f"SELECT {columns} FROM h_{table}"
+    ideal = f"SELECT {keys} FROM range(1, {size + 1}) AS n(i)"
+    return {
+        f"{table} missing": f"SELECT count(*) FROM ({ideal} EXCEPT {real})",
+        f"{table} unexpected": f"SELECT count(*) FROM ({real} EXCEPT {ideal})",
+    }
+
+
+_PRODUCT = '"ProdCat", "Subcategory", "ListingAge", "SellerPointer"'
+ORACLE["check_universe"] = _rules(
+    **_universe("markets", '"PlatCode"', "printf('PLAT-%03d', i)", 10),
+    **_universe("vendors", '"SellerKey"', "printf('SELLER-%06d', i)", 1000),
+    **_universe("buyers", '"AcqCode"', "printf('BUYER-%07d', i)", 10000),
+    **_universe(
+        "products", _PRODUCT,
+        "printf('CAT-%03d', i % 20), printf('SUB-%05d', i % 100), i % 4, printf('SELLER-%06d', (i + 3) // 4)",
+        4000,
+    ),
+)
+
+
+def _misformed(source: str, column: str, pattern: str) -> str:
+    return f"""SELECT count(*) FROM {source} WHERE NOT regexp_full_match("{column}", '{pattern}')"""
+
+
+ORACLE["check_id_format"] = _rules(
+    **{
+        "markets id format": _misformed("s_markets", "PlatCode", "PLAT-[0-9]{3}"),
+        "vendors id format": _misformed("s_vendors", "SellerKey", "SELLER-[0-9]{6}"),
+        "buyers id format": _misformed("s_buyers", "AcqCode", "BUYER-[0-9]{7}"),
+        "transactions id format": _misformed("b_transactions", "EventCode", "EVT-HIST-[0-9]{14}"),
+        "transactions id domain": """SELECT count(*) FROM h_transactions
+            WHERE "EventCode"[10:]::bigint NOT BETWEEN 1 AND (SELECT count(*) FROM customer)""",
+        "BuyerSessionAnalytics id format": _misformed("b_sessions", "BSA_id", "BSA-HIST-[0-9]{14}"),
+        "PaymentProcessingEvents id format": _misformed("b_payments", "PPE_id", "PPE-HIST-[0-9]{14}"),
+        "RiskModelPredictions id format": _misformed("b_predictions", "RMP_id", "RMP-HIST-[0-9]{14}"),
+    }
+)
+_PRIMARY = {
+    "markets": '"PlatCode"', "vendors": '"SellerKey"', "buyers": '"AcqCode"', "products": _PRODUCT,
+    "transactions": '"EventCode"', "transaction_products": f'"EventLink", {_PRODUCT}',
+    "BuyerSessionAnalytics": '"BSA_id"', "PaymentProcessingEvents": '"PPE_id"',
+    "risk_analytics": '"TxnLink"', "RiskModelPredictions": '"RMP_id"',
+}
+ORACLE["check_primary_keys"] = _rules(
+    **{
+        f"{t} primary key": f"SELECT count(*) FROM (SELECT {key} FROM f_{_TABLE_VIEWS[t]} GROUP BY ALL HAVING count(*) > 1)"
+        for t, key in _PRIMARY.items()
+    }
+)
+ORACLE["check_item_vendor"] = _rules(**{"item vendor": """SELECT count(*) FROM f_items, f_transactions
+    WHERE "EventLink" = "EventCode" AND "SellerPointer" <> "VendorLink" """})
+ORACLE["check_two_items"] = _rules(**{"two items": """SELECT count(*) FROM (
+    SELECT "EventCode" FROM f_transactions LEFT JOIN f_items ON "EventLink" = "EventCode"
+    GROUP BY 1 HAVING count("EventLink") <> 2)"""})
+ORACLE["check_payment_order"] = _rules(**{"payment predates transaction": """
+    SELECT count(*) FROM f_payments, f_transactions
+    WHERE transaction_ref = "EventCode" AND event_timestamp < "EventTimestamp" """})
+ORACLE["check_prediction_order"] = _rules(**{"prediction predates transaction": """
+    SELECT count(*) FROM f_predictions, f_transactions
+    WHERE txn_link_ref = "EventCode" AND prediction_timestamp < "EventTimestamp" """})
+
+
+def _orphans(child: str, column: str, parent: str, key: str) -> str:
+    return f"""SELECT count(*) FROM {child} c WHERE NOT EXISTS (
+        SELECT 1 FROM {parent} p WHERE ({key.format(a="p")}) = ({column.format(a="c")}))"""
+
+
+_PRODUCT_OF = '{a}."ProdCat", {a}."Subcategory", {a}."ListingAge", {a}."SellerPointer"'
+ORACLE["check_references"] = _rules(
+    **{
+        "transactions.PlatformKey -> markets":
+            _orphans("f_transactions", '{a}."PlatformKey"', "f_markets", '{a}."PlatCode"'),
+        "transactions.VendorLink -> vendors":
+            _orphans("f_transactions", '{a}."VendorLink"', "f_vendors", '{a}."SellerKey"'),
+        "transactions.AcqLink -> buyers":
+            _orphans("f_transactions", '{a}."AcqLink"', "f_buyers", '{a}."AcqCode"'),
+        "transaction_products.EventLink -> transactions":
+            _orphans("f_items", '{a}."EventLink"', "f_transactions", '{a}."EventCode"'),
+        "transaction_products.SellerPointer -> products":
+            _orphans("f_items", _PRODUCT_OF, "f_products", _PRODUCT_OF),
+        "BuyerSessionAnalytics.acq_ref -> buyers":
+            _orphans("f_sessions", "{a}.acq_ref", "f_buyers", '{a}."AcqCode"'),
+        "PaymentProcessingEvents.transaction_ref -> transactions":
+            _orphans("f_payments", "{a}.transaction_ref", "f_transactions", '{a}."EventCode"'),
+        "risk_analytics.TxnLink -> transactions":
+            _orphans("f_risk", '{a}."TxnLink"', "f_transactions", '{a}."EventCode"'),
+        "RiskModelPredictions.txn_link_ref -> risk_analytics":
+            _orphans("f_predictions", "{a}.txn_link_ref", "f_risk", '{a}."TxnLink"'),
+    }
+)
+_CROSSES = '"OriginRegion" IS DISTINCT FROM "DestRegion"'
+ORACLE["check_border"] = _rules(
+    **{
+        "border flag": f"""SELECT count(*) FROM f_transactions
+            WHERE "CrossBorder" IS DISTINCT FROM ({_CROSSES})::bigint""",
+        "border route": f"""SELECT count(*) FROM f_transactions
+            WHERE "RouteComplex" IS DISTINCT FROM if({_CROSSES}, 'multi-hop', 'direct')""",
+        "border label": f"""SELECT count(*) FROM f_transactions
+            WHERE "Border_cross_border_pre" IS DISTINCT FROM if({_CROSSES}, 'cross-border', 'domestic')""",
+    }
+)
+# Live items have no history number, so each of them breaks every rule; history items break none.
+ORACLE["check_item_price"] = """
+SELECT rule, (SELECT count(*) FROM l_items) AS violations
+FROM (VALUES ('item id'), ('item product'), ('item vendor number'), ('item price')) AS r(rule)"""
+ORACLE["check_cardinality"] = _rules(
+    **{
+        f"{t} cardinality": f"SELECT (count(*) <> {n})::int FROM h_{t}"
+        for t, n in (("markets", 10), ("vendors", 1000), ("buyers", 10000), ("products", 4000))
+    },
+    **{
+        "items per transaction": "SELECT (count(*) <> 2 * (SELECT count(*) FROM h_transactions))::int FROM h_items",
+        "transaction domain": "SELECT (count(*) < 1000000)::int FROM h_transactions",
+        "risk domain": "SELECT (count(*) < 1000000)::int FROM h_risk",
+        "risk within transactions": "SELECT (count(*) > (SELECT count(*) FROM h_transactions))::int FROM h_risk",
+    },
+)
+ORACLE["check_deltas"] = "\nUNION ALL ".join(
+    f"""SELECT '{t}' AS "table", count(*) AS new_rows, {"count(*)" if live else "NULL::bigint"} AS new_live_ids
+        FROM l_{_TABLE_VIEWS[t]}"""
+    for t, live in zip(_FACTS, (True, False, True, True, False, True), strict=True)
+)
+ORACLE["check_event_mix"] = """
+SELECT event, count(*) AS events, count(*) * if(event = 'purchase', 7, 1) AS row_changes
+FROM (SELECT CASE event_type WHEN 'view' THEN 'buyer_session' WHEN 'click' THEN 'payment_update'
+                  WHEN 'signup' THEN 'risk_prediction' WHEN 'error' THEN 'transaction_status_update'
+                  ELSE event_type END AS event FROM events)
+GROUP BY 1"""
+ORACLE["check_deliveries"] = """
+SELECT count(*) AS changes, count(DISTINCT event_id) AS event_ids,
+       count(CASE WHEN "table" = '_metadata' THEN 1 END) AS unknown_table FROM c_events"""
+ORACLE["check_envelope"] = _rules(
+    **{
+        "envelope keys": "0",
+        "event id": "0",
+        "change table": """SELECT count(*) FROM c_events WHERE "table" = '_metadata'""",
+        "source position": "0",
+    }
+)
+ORACLE["gold_reconcile"] = _rules(
+    **{
+        "vendor cardinality": "0",
+        "buyer cardinality": "0",
+        "product cardinality": "0",
+        "daily_market_metrics transactions": "0",
+        "vendor_risk_summary transactions":
+            """SELECT count(*) FROM f_transactions
+               WHERE "VendorLink" IS NULL OR "VendorLink" NOT IN (SELECT "SellerKey" FROM f_vendors)""",
+        "buyer_360 transactions":
+            """SELECT count(*) FROM f_transactions
+               WHERE "AcqLink" IS NULL OR "AcqLink" NOT IN (SELECT "AcqCode" FROM f_buyers)""",
+        "product units": """SELECT abs(sum("QtySold") - count(*)) FROM f_items""",
+    }
+)
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_views(body) for name, body in ORACLE.items()}

@@ -8,10 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, LongType, StructType
 
-from harness.fixtures import Given
+from harness.fixtures import Given, change_feed
 from souklake.functions import documents, values
-from souklake.operators import changes, gold, mutations, silver, synth
-from souklake.schemas import DIMENSIONS, FACTS, TABLES, Domain
+from souklake.operators import changes, checks, gold, mutations, silver, synth
+from souklake.plans import batch, publish, validate
+from souklake.plans.history import plan_sizes
+from souklake.schemas import DIMENSIONS, FACTS, PRIMARY_KEYS, TABLES, Domain
+from souklake.session import run_folder
+from souklake.sources import bronze
+from souklake.sources.landing import read_landing, read_landing_lines, write_landing
+from souklake.sources.snapshot import exported_snapshot
+from souklake.sources.tables import append_record, footer_counts, read_table, write_table
+from souklake.streaming.landing import distinct_events, drain
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -322,3 +330,338 @@ def _(given: Given) -> DataFrame:
     return silver.count_gate(
         silver.table_counts(tables), silver.expected_counts(snapshots, histories)
     )
+
+
+# sources and sinks --------------------------------------------------------------------------
+# These write what Spark derives from the given tables and read it back.
+
+GIVEN_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+)
+
+
+@query("row_counts")
+def _(given: Given) -> DataFrame:
+    paths = {table: f"{given.sf_dir}/{table}.parquet" for table in GIVEN_TABLES}
+    return footer_counts(given.spark, paths)
+
+
+@query("parquet_roundtrip")
+def _(given: Given) -> DataFrame:
+    path = run_folder(given.spark, "roundtrip")
+    frame = given.transactions()
+    write_table(frame, path)
+    return read_table(given.spark, frame.schema, path)
+
+
+@query("snapshot_scan")
+def _(given: Given) -> DataFrame:
+    root = run_folder(given.spark, "snapshot")
+    write_table(live(given, "PaymentProcessingEvents"), f"{root}/PaymentProcessingEvents")
+    return exported_snapshot(given.spark, root, "PaymentProcessingEvents")
+
+
+_published: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def bronze_of(given: Given, root: str) -> None:
+    """Bronze history in its stored layout, with ledger and manifest."""
+    spark = given.spark
+    for table in TABLES:
+        rows = write_table(history(given, table), bronze.segment_path(root, table, 1))
+        bronze.record_segment(spark, root, table, 1, rows)
+    totals = bronze.progress(bronze.read_ledger(spark, root))
+    total = totals.agg(F.sum("bytes")).first()[0]
+    bronze.write_manifest(bronze.build_manifest(totals, total, F.lit("2025-06-01")), root)
+
+
+def published(given: Given) -> tuple[str, str]:
+    """Bronze root and lake of one batch, built once per session and directory."""
+    key = (given.spark.sparkContext.applicationId, given.sf_dir)
+    if key not in _published:
+        root = run_folder(given.spark, "published")
+        bronze_of(given, f"{root}/bronze")
+        batch.run_batch(
+            given.spark, f"{root}/bronze", lambda table: snapshot(given, table), f"{root}/lake"
+        )
+        _published[key] = (f"{root}/bronze", f"{root}/lake")
+    return _published[key]
+
+
+@query("scan_bronze")
+def _(given: Given) -> DataFrame:
+    root, _ = published(given)
+    bronze.require_tables(bronze.bronze_files(given.spark, root))
+    return bronze.read_bronze(given.spark, root, "transaction_products")
+
+
+@query("manifest_rows")
+def _(given: Given) -> DataFrame:
+    root, _ = published(given)
+    return bronze.manifest_rows(bronze.read_manifest(given.spark, root)).select("table", "rows")
+
+
+@query("batch_lineage")
+def _(given: Given) -> DataFrame:
+    """Audit record of the batch, one row per published table."""
+    _, lake = published(given)
+    records = publish.table_records(given.spark, lake, publish.current_batch(given.spark, lake))
+    return records.select(
+        "layer", "table", "rows", "source", F.element_at("properties", "codec").alias("codec")
+    )
+
+
+@query("published_gold")
+def _(given: Given) -> DataFrame:
+    """The daily model as readers of the published lake see it."""
+    _, lake = published(given)
+    model = publish.read_layer(given.spark, lake, "gold")["daily_market_metrics"]
+    return rounded(model, gross_merchandise_value=2)
+
+
+@query("publish_swap")
+def _(given: Given) -> DataFrame:
+    """Two batches are published one after the other; readers see the second."""
+    spark, lake = given.spark, run_folder(given.spark, "swap")
+    before = history(given, "vendors")
+    after = mutations.count_vendor_sales(before, given.purchases())
+    for batch_id, frame in (("first", before), ("second", after)):
+        path = f"{publish.batch_root(lake, batch_id)}/silver/vendors"
+        rows = write_table(frame, path)
+        record = batch.table_record(batch_id, "", "silver", "vendors", rows, "snapshot", [path])
+        append_record(
+            spark.createDataFrame([record], publish.TABLE_RECORD),
+            f"{publish.batch_root(lake, batch_id)}/_tables",
+        )
+        publish.publish(spark, lake, batch_id)
+    return publish.read_layer(spark, lake, "silver")["vendors"]
+
+
+@query("synth_resume")
+def _(given: Given) -> DataFrame:
+    """Where synthesis goes on, from a ledger with a segment per thousand rows."""
+    ledgers = []
+    for table, (source, key) in (("transactions", NUMBERS["transactions"]),
+                                 ("BuyerSessionAnalytics", NUMBERS["BuyerSessionAnalytics"])):
+        number = F.col(key) + 1
+        ledgers.append(
+            given.raw(source)
+            .groupBy(F.floor(F.col(key) / 1000).alias("segment"))
+            .agg(
+                F.lit(table).alias("table"),
+                F.min(number).alias("row_start"),
+                F.count(F.lit(1)).alias("row_count"),
+                (F.count(F.lit(1)) * 40).alias("bytes"),
+            )
+        )
+    return bronze.progress(checks.union(ledgers))
+
+
+@query("synth_plan")
+def _(given: Given) -> DataFrame:
+    """Sizes for a budget of 1 KiB per line item; a row is taken as ten times its key."""
+    widths = [
+        history(given, table)
+        .agg((F.sum(F.length(F.col(PRIMARY_KEYS[table][0]))) * 10.0 / F.count(F.lit(1))).alias("bytes_per_row"))
+        .select(F.lit(table).alias("table"), "bytes_per_row")
+        for table in TABLES
+    ]
+    return plan_sizes(checks.union(widths), given.raw("lineitem").count() * 1024)
+
+
+# landing ------------------------------------------------------------------------------------
+
+
+def event_stream(given: Given) -> DataFrame:
+    """The events table as a stream of changes."""
+    events = (
+        given.spark.readStream.schema(given.raw("events").schema)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(given.sf_dir)
+    )
+    return change_feed(events)
+
+
+def landed(given: Given) -> str:
+    root = run_folder(given.spark, "landing")
+    drain(
+        event_stream(given),
+        f"{root}/zone",
+        f"{root}/checkpoint",
+        DATABASE,
+        ingested_at=F.col("ingested_at"),
+    )
+    return f"{root}/zone"
+
+
+@query("land_changes")
+def _(given: Given) -> DataFrame:
+    return (
+        read_landing(given.spark, landed(given))
+        .groupBy("table", "ingest_date", "hour")
+        .agg(F.count(F.lit(1)).alias("changes"))
+    )
+
+
+@query("cdc_drain")
+def _(given: Given) -> DataFrame:
+    return read_landing(given.spark, landed(given)).select(
+        "schema_version", "event_id", "ingested_at", "source.lsn", "source.xid", "change", "table"
+    )
+
+
+@query("scan_landing")
+def _(given: Given) -> DataFrame:
+    root = run_folder(given.spark, "landing")
+    write_landing(envelopes(given), root, "once")
+    return read_landing(given.spark, root).select(
+        "schema_version", "event_id", "ingested_at", "source.lsn", "source.xid", "change", "table"
+    )
+
+
+@query("cdc_retry")
+def _(given: Given) -> DataFrame:
+    """A batch that is stored twice under its number is there once."""
+    root = run_folder(given.spark, "landing")
+    for _attempt in range(2):
+        write_landing(envelopes(given), root, "retried")
+    return read_landing(given.spark, root).groupBy("table").agg(F.count(F.lit(1)).alias("changes"))
+
+
+@query("cdc_stream_dedup")
+def _(given: Given) -> DataFrame:
+    """Landed deliveries, deduplicated by a stream; deliveries of one event share their time."""
+    zone, out = landed(given), run_folder(given.spark, "distinct")
+    stream = distinct_events(given.spark, zone, "1 hour").select("event_id", "table", "ingested_at")
+    writer = stream.writeStream.format("parquet").option("path", f"{out}/events")
+    writer.option("checkpointLocation", f"{out}/checkpoint").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    return given.spark.read.schema(stream.schema).parquet(f"{out}/events")
+
+
+# validation ---------------------------------------------------------------------------------
+
+
+def fixture(given: Given) -> dict[str, DataFrame]:
+    return {
+        "markets": given.markets(),
+        "vendors": given.vendors(),
+        "buyers": given.buyers(),
+        "products": given.products(),
+        "transactions": given.transactions(),
+        "transaction_products": given.items(),
+        "BuyerSessionAnalytics": given.sessions(),
+        "PaymentProcessingEvents": given.payments(),
+        "risk_analytics": given.risk(),
+        "RiskModelPredictions": given.predictions(),
+    }
+
+
+@query("check_schema")
+def _(given: Given) -> DataFrame:
+    return checks.schema_rules(given.spark, {t: history(given, t) for t in TABLES})
+
+
+@query("check_universe")
+def _(given: Given) -> DataFrame:
+    tables = {table: history(given, table) for table in DIMENSIONS}
+    return checks.universe_rules(given.spark, tables)
+
+
+@query("check_id_format")
+def _(given: Given) -> DataFrame:
+    """History ids are wanted; half the facts are live, and numbers go up to the orders."""
+    tables = silver_tables(given)
+    rows = {"transactions": given.raw("customer").count()}
+    return checks.format_rules(tables, kinds=("history",), history_rows=rows)
+
+
+@query("check_primary_keys")
+def _(given: Given) -> DataFrame:
+    return checks.primary_key_rules(fixture(given))
+
+
+query("check_item_vendor")(lambda given: checks.item_vendor_rule(given.items(), given.transactions()))
+query("check_two_items")(lambda given: checks.two_items_rule(given.items(), given.transactions()))
+query("check_payment_order")(
+    lambda given: checks.payment_order_rule(given.payments(), given.transactions())
+)
+query("check_prediction_order")(
+    lambda given: checks.prediction_order_rule(given.predictions(), given.transactions())
+)
+query("check_references")(lambda given: checks.reference_rules(fixture(given)))
+query("check_border")(lambda given: checks.border_rules(given.transactions()))
+
+
+@query("check_item_price")
+def _(given: Given) -> DataFrame:
+    """History items keep the rules, live items have no history number."""
+    return checks.history_item_rules(silver_tables(given)["transaction_products"])
+
+
+@query("check_cardinality")
+def _(given: Given) -> DataFrame:
+    counts = silver.table_counts({table: history(given, table) for table in TABLES})
+    return checks.cardinality_rules(counts)
+
+
+@query("check_deltas")
+def _(given: Given) -> DataFrame:
+    """Rows and live ids that the live events add to the history."""
+    before = {table: history(given, table) for table in FACTS}
+    return checks.state_deltas(
+        checks.state_counts(before),
+        checks.state_counts({table: f.unionByName(live(given, table)) for table, f in before.items()}),
+    )
+
+
+@query("check_event_mix")
+def _(given: Given) -> DataFrame:
+    kinds = {
+        "purchase": "purchase",
+        "view": "buyer_session",
+        "click": "payment_update",
+        "signup": "risk_prediction",
+        "error": "transaction_status_update",
+    }
+    names = F.create_map(*[F.lit(v) for pair in kinds.items() for v in pair])
+    events = given.raw("events").select(F.element_at(names, F.col("event_type")).alias("event"))
+    return checks.event_mix(events)
+
+
+query("check_deliveries")(lambda given: checks.delivery_totals(envelopes(given)))
+
+
+@query("check_envelope")
+def _(given: Given) -> DataFrame:
+    root = run_folder(given.spark, "landing")
+    write_landing(envelopes(given), root, "once")
+    return checks.envelope_rules(read_landing_lines(given.spark, root))
+
+
+@query("check_manifest")
+def _(given: Given) -> DataFrame:
+    root, _ = published(given)
+    return validate.manifest_rules(given.spark, root)
+
+
+@query("check_silver")
+def _(given: Given) -> DataFrame:
+    root, lake = published(given)
+    counts = silver.table_counts({table: snapshot(given, table) for table in TABLES})
+    return validate.silver_rules(
+        given.spark, lake, counts, bronze.read_manifest(given.spark, root)
+    )
+
+
+@query("check_gold")
+def _(given: Given) -> DataFrame:
+    _, lake = published(given)
+    return validate.gold_rules(given.spark, lake)
+
+
+@query("gold_reconcile")
+def _(given: Given) -> DataFrame:
+    tables = fixture(given)
+    return checks.reconcile_rules(tables, gold.gold_models(tables))

@@ -87,9 +87,7 @@ def write_segment(
     """Rows start … start+rows-1 in `parts` files by `parts` tasks; returns the bytes written."""
     path = bronze.segment_path(root, table, start)
     write_table(history_rows(row_numbers(spark, start, rows, parts), table, domain), path)
-    size = stored_bytes(spark, path)
-    bronze.record_segment(spark, root, table, start, rows, size)
-    return size
+    return bronze.record_segment(spark, root, table, start, rows)
 
 
 def grow_table(

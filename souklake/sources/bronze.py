@@ -18,6 +18,7 @@ from souklake.sources.tables import (
     path_exists,
     read_records,
     read_table,
+    stored_bytes,
     stored_files,
 )
 
@@ -40,9 +41,13 @@ def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     return read_records(spark, path, LEDGER)
 
 
-def record_segment(spark: SparkSession, root: str, table: str, start: int, rows: int, size: int) -> None:
-    row = (table, start, rows, size, segment_path(root, table, start))
+def record_segment(spark: SparkSession, root: str, table: str, start: int, rows: int) -> int:
+    """Enter a written segment into the ledger; returns its bytes."""
+    path = segment_path(root, table, start)
+    size = stored_bytes(spark, path)
+    row = (table, start, rows, size, path)
     append_record(spark.createDataFrame([row], LEDGER), f"{root}/_ledger")
+    return size
 
 
 def progress(ledger: DataFrame) -> DataFrame:
