@@ -88,7 +88,8 @@ VIEWS["f_predictions"] = """
            o_orderdate + if(o_orderstatus = 'P', -1, 1) * INTERVAL 1 DAY AS prediction_timestamp
     FROM orders"""
 VIEWS["f_changes"] = """
-    SELECT '0/' || hex(event_id + 256) AS lsn, (event_id // 5)::varchar AS xid, ts AS ingested_at,
+    SELECT '0/' || hex(event_id + 256) AS lsn, (event_id // 5)::varchar AS xid,
+           ts + to_hours((if(hour(ts) < 12, 18, 30) - hour(ts))::int) AS ingested_at,
            '{"action":"' || act || '"' || coalesce(',"schema":"public","table":"' || tab || '"', '')
            || if(act = 'D', ',"identity":', ',"columns":')
            || '[{"name":"id","type":"bigint","value":' || user_id

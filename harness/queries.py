@@ -361,7 +361,17 @@ def _(given: Given) -> DataFrame:
     return exported_snapshot(given.spark, root, "PaymentProcessingEvents")
 
 
-_published: dict[tuple[str, str], tuple[str, str]] = {}
+_built: dict[tuple[str, str, str], str] = {}
+
+
+def once(given: Given, purpose: str, build: Callable[[Given, str], None]) -> str:
+    """A folder that `build` fills once per session and directory."""
+    key = (given.spark.sparkContext.applicationId, given.sf_dir, purpose)
+    if key not in _built:
+        root = run_folder(given.spark, purpose)
+        build(given, root)
+        _built[key] = root
+    return _built[key]
 
 
 def bronze_of(given: Given, root: str) -> None:
@@ -376,16 +386,16 @@ def bronze_of(given: Given, root: str) -> None:
 
 
 def published(given: Given) -> tuple[str, str]:
-    """Bronze root and lake of one batch, built once per session and directory."""
-    key = (given.spark.sparkContext.applicationId, given.sf_dir)
-    if key not in _published:
-        root = run_folder(given.spark, "published")
+    """Bronze root and lake of one batch."""
+
+    def build(given: Given, root: str) -> None:
         bronze_of(given, f"{root}/bronze")
         batch.run_batch(
             given.spark, f"{root}/bronze", lambda table: snapshot(given, table), f"{root}/lake"
         )
-        _published[key] = (f"{root}/bronze", f"{root}/lake")
-    return _published[key]
+
+    root = once(given, "published", build)
+    return f"{root}/bronze", f"{root}/lake"
 
 
 @query("scan_bronze")
@@ -483,15 +493,23 @@ def event_stream(given: Given) -> DataFrame:
 
 
 def landed(given: Given) -> str:
-    root = run_folder(given.spark, "landing")
-    drain(
-        event_stream(given),
-        f"{root}/zone",
-        f"{root}/checkpoint",
-        DATABASE,
-        ingested_at=F.col("ingested_at"),
-    )
-    return f"{root}/zone"
+    """Landing zone that a stream has drained the change feed into."""
+
+    def build(given: Given, root: str) -> None:
+        moment = F.col("ingested_at")
+        drain(event_stream(given), f"{root}/zone", f"{root}/checkpoint", DATABASE, ingested_at=moment)
+
+    return f"{once(given, 'drained', build)}/zone"
+
+
+def landed_batch(given: Given) -> str:
+    """Landing zone with one batch that was stored twice, as a retry does."""
+
+    def build(given: Given, root: str) -> None:
+        for _attempt in range(2):
+            write_landing(envelopes(given), root, "retried")
+
+    return once(given, "retried", build)
 
 
 @query("land_changes")
@@ -512,9 +530,7 @@ def _(given: Given) -> DataFrame:
 
 @query("scan_landing")
 def _(given: Given) -> DataFrame:
-    root = run_folder(given.spark, "landing")
-    write_landing(envelopes(given), root, "once")
-    return read_landing(given.spark, root).select(
+    return read_landing(given.spark, landed_batch(given)).select(
         "schema_version", "event_id", "ingested_at", "source.lsn", "source.xid", "change", "table"
     )
 
@@ -522,10 +538,8 @@ def _(given: Given) -> DataFrame:
 @query("cdc_retry")
 def _(given: Given) -> DataFrame:
     """A batch that is stored twice under its number is there once."""
-    root = run_folder(given.spark, "landing")
-    for _attempt in range(2):
-        write_landing(envelopes(given), root, "retried")
-    return read_landing(given.spark, root).groupBy("table").agg(F.count(F.lit(1)).alias("changes"))
+    envelopes_read = read_landing(given.spark, landed_batch(given))
+    return envelopes_read.groupBy("table").agg(F.count(F.lit(1)).alias("changes"))
 
 
 @query("cdc_stream_dedup")
@@ -635,9 +649,7 @@ query("check_deliveries")(lambda given: checks.delivery_totals(envelopes(given))
 
 @query("check_envelope")
 def _(given: Given) -> DataFrame:
-    root = run_folder(given.spark, "landing")
-    write_landing(envelopes(given), root, "once")
-    return checks.envelope_rules(read_landing_lines(given.spark, root))
+    return checks.envelope_rules(read_landing_lines(given.spark, landed_batch(given)))
 
 
 @query("check_manifest")

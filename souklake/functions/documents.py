@@ -1,7 +1,7 @@
 """JSON text: canonical form, shallow merge, amounts.
 
-Members are told apart by their variant type, but numbers are taken from the text: a variant
-stores 12.0 as 12, and the text of a number is part of the stored value here.
+A variant stores 12.0 as 12, but the text of a number is part of a stored document. Members are
+therefore told apart by their variant type, while numbers are taken from their text.
 """
 
 from __future__ import annotations
@@ -12,14 +12,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _NUMBER = r"\A(?:TINYINT|SMALLINT|INT|BIGINT|DECIMAL|FLOAT|DOUBLE)"
+# Numbers whose text a variant does not keep: trailing zeros, exponents, very many digits.
+_LOSSY = r"\.[0-9]*0(?![0-9])|[0-9][eE]|[0-9.]{16}"
 
-
-def _texts(document: Column) -> Column:
-    return F.from_json(document, "map<string,string>")
-
-
-def _variants(document: Column) -> Column:
-    return F.from_json(document, "map<string,variant>")
+_NUMERIC_TEXT = (
+    r"(?i)\A\s*([-+]?(?:[0-9]+\.?[0-9]*(?:e[-+]?[0-9]+)?|\.[0-9]+(?:e[-+]?[0-9]+)?|inf|infinity|nan))\s*\z"
+)
 
 
 def _quoted(text: Column) -> Column:
@@ -27,22 +25,25 @@ def _quoted(text: Column) -> Column:
     return F.substr(boxed, F.lit(2), F.length(boxed) - 2)
 
 
-def _member(document: Column, number: Callable[[Column], Column]) -> Callable[[Column], Column]:
-    """Text of a member's value, by member name."""
-    texts, variants = _texts(document), _variants(document)
+def _members(document: Column, number: Callable[[Column], Column]) -> Column:
+    """Map of member name to the text of its value; the document is parsed once per use."""
 
-    def value(name: Column) -> Column:
-        found = F.try_element_at(variants, name)
-        return F.when(
-            F.schema_of_variant(found).rlike(_NUMBER), number(F.try_element_at(texts, name))
-        ).otherwise(F.coalesce(F.to_json(found), F.lit("null")))
+    def rendered(_name: Column, text: Column, variant: Column) -> Column:
+        return F.when(F.schema_of_variant(variant).rlike(_NUMBER), number(text)).otherwise(
+            F.coalesce(F.to_json(variant), F.lit("null"))
+        )
 
-    return value
+    return F.map_zip_with(
+        F.from_json(document, "map<string,string>"),
+        F.from_json(document, "map<string,variant>"),
+        rendered,
+    )
 
 
-def _object(names: Column, value: Callable[[Column], Column]) -> Column:
-    members = F.transform(names, lambda name: F.concat(_quoted(name), F.lit(":"), value(name)))
-    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
+def _object(members: Column) -> Column:
+    """Document of (name, text) entries in their order."""
+    written = F.transform(members, lambda m: F.concat(_quoted(m["key"]), F.lit(":"), m["value"]))
+    return F.concat(F.lit("{"), F.array_join(written, ","), F.lit("}"))
 
 
 def _plain_number(text: Column) -> Column:
@@ -53,9 +54,9 @@ def _plain_number(text: Column) -> Column:
 
 def canonical(document: Column) -> Column:
     """Sorted keys and no blanks; NULL for NULL or malformed text."""
-    names = F.array_sort(F.map_keys(_texts(document)))
-    sorted_object = _object(names, _member(document, _plain_number))
-    return F.coalesce(sorted_object, F.to_json(F.try_parse_json(document)))
+    variant = F.to_json(F.try_parse_json(document))
+    exact = _object(F.sort_array(F.map_entries(_members(document, _plain_number))))
+    return F.when(document.rlike(_LOSSY), F.coalesce(exact, variant)).otherwise(variant)
 
 
 def merge(left: Column, right: Column) -> Column:
@@ -63,19 +64,23 @@ def merge(left: Column, right: Column) -> Column:
 
     Members keep the place they have on the left, new ones follow.
     """
-    new = F.map_keys(_texts(right))
-    base, patch = _member(left, lambda text: text), _member(right, lambda text: text)
-    names = F.array_union(F.map_keys(_texts(left)), new)
-    return _object(
-        names, lambda name: F.when(F.array_contains(new, name), patch(name)).otherwise(base(name))
+
+    def same(text: Column) -> Column:
+        return text
+
+    merged = F.map_zip_with(
+        _members(left, same), _members(right, same), lambda _name, old, new: F.coalesce(new, old)
     )
+    return _object(F.map_entries(merged))
 
 
 def number_at(document: Column, path: str) -> Column:
-    """Number (or numeric text) at a path as double, NULL when it is neither."""
-    value = F.get_json_object(document, path)
-    # A Java type suffix ("1d", "2f") is no number in JSON or SQL text.
-    return F.when(~value.rlike(r"[0-9.][dDfF]\s*\z"), value.try_cast("double"))
+    """Number (or numeric text) at a path as double, NULL when it is neither.
+
+    Only the text of a number is cast: a cast alone also takes Java forms such as "1d" and "2f".
+    """
+    text = F.regexp_extract(F.get_json_object(document, path), _NUMERIC_TEXT, 1)
+    return text.try_cast("double")
 
 
 def build(**fields: Column) -> Column:

@@ -38,6 +38,9 @@ def local_session(app: str, cores: str = "8", memory: str = "8g") -> SparkSessio
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.ui.enabled", "false")
+        # Test files have one row group each, so the cores are only busy behind a shuffle.
+        .config("spark.sql.adaptive.localShuffleReader.enabled", "false")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in SETTINGS.items():
