@@ -31,13 +31,22 @@ def recommendation(bucket: Column) -> Column:
     return F.when(bucket == "high", "manual_review").otherwise("approve")
 
 
+def iso_text(ts: Column, fraction_digits: int | None = None) -> Column:
+    """ISO text of a zone-less timestamp, with a fixed count of fraction digits or, by default,
+    with microseconds only when there are any.
+
+    Works on the text of the value: `date_format` would pass through the session time zone.
+    """
+    text = ts.cast("string")
+    base = F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
+    digits = F.rpad(F.substring(text, 21, 6), fraction_digits or 6, "0")
+    dotted = F.concat(base, F.lit("."), digits)
+    return dotted if fraction_digits else F.when(F.length(text) > 19, dotted).otherwise(base)
+
+
 def iso_instant(ts: Column, millis: bool = False) -> Column:
-    """ISO text with a trailing Z; microseconds appear only when there are any."""
-    if millis:
-        return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    micros = F.date_format(ts, "SSSSSS")
-    fraction = F.when(micros != "000000", F.concat(F.lit("."), micros)).otherwise("")
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.lit("Z"))
+    """ISO text with a trailing Z."""
+    return F.concat(iso_text(ts, 3 if millis else None), F.lit("Z"))
 
 
 def route(crosses: Column) -> Column:

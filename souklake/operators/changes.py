@@ -11,6 +11,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from souklake.functions import values
+
 # Fixed values of the envelope.
 SCHEMA_VERSION = 1
 CONNECTOR = "postgresql-wal2json"
@@ -71,11 +73,9 @@ def envelope(changes: DataFrame, database: str, ingested_at: Column | None = Non
 
 def with_hour(envelopes: DataFrame) -> DataFrame:
     """Partition columns of the landing zone."""
+    text = values.iso_text(F.col("ingested_at"))
     return envelopes.withColumns(
-        {
-            "ingest_date": F.date_format("ingested_at", "yyyy-MM-dd"),
-            "hour": F.date_format("ingested_at", "HH"),
-        }
+        {"ingest_date": F.substring(text, 1, 10), "hour": F.substring(text, 12, 2)}
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
+from souklake.functions import values
 from souklake.operators.changes import with_hour
 from souklake.schemas import ENVELOPE
 
@@ -27,7 +28,7 @@ def _partitioned(schema: StructType) -> StructType:
 def envelope_line() -> Column:
     """One JSON object per envelope. The change is embedded as it came, so its text survives;
     a change that is not JSON is stored as a JSON string."""
-    moment = F.date_format("ingested_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    moment = F.concat(values.iso_text(F.col("ingested_at"), 6), F.lit("+00:00"))
     head = F.to_json(F.struct("event_id", moment.alias("ingested_at"), "schema_version", "source"))
     as_text = F.to_json(F.struct(F.col("change").alias("change")))
     change = F.when(
