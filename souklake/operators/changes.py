@@ -111,25 +111,36 @@ def deduplicate_stream(envelopes: DataFrame, delay: str) -> DataFrame:
     )
 
 
-def _typed(image: Column, schema: StructType) -> list[Column]:
-    by_name = F.map_from_entries(F.transform(image, lambda c: F.struct(c["name"], c["value"])))
-    return [
-        F.try_element_at(by_name, F.lit(field.name)).try_cast(field.dataType).alias(field.name)
-        for field in schema
+def _by_name(image: Column) -> Column:
+    return F.map_from_entries(F.transform(image, lambda c: F.struct(c["name"], c["value"])))
+
+
+def _typed(values_by_name: str, schema: StructType) -> Column:
+    """Typed row of an image's values, NULL without an image."""
+    fields = [
+        F.try_element_at(F.col(values_by_name), F.lit(f.name)).try_cast(f.dataType).alias(f.name)
+        for f in schema
     ]
+    return F.when(F.col(values_by_name).isNotNull(), F.struct(*fields))
 
 
 def flatten(envelopes: DataFrame, schema: StructType) -> DataFrame:
-    """Typed new and old image per change, with its position in the log."""
+    """Typed new and old image per change, with its position in the log.
+
+    Each change is parsed once and each image becomes a map once, in projections of their own.
+    """
     parsed = envelopes.withColumn("_c", F.from_json("change", CHANGE))
-    return parsed.select(
+    mapped = parsed.withColumns(
+        {"_new": _by_name(F.col("_c.columns")), "_old": _by_name(F.col("_c.identity"))}
+    )
+    return mapped.select(
         "event_id",
         F.coalesce("_c.table", F.lit(UNROUTED)).alias("table"),
         F.col("_c.action").alias("action"),
         lsn_number(F.col("source.lsn")).alias("position"),
         F.col("source.ordinal").alias("ordinal"),
-        F.when(F.col("_c.columns").isNotNull(), F.struct(*_typed(F.col("_c.columns"), schema))).alias("new"),
-        F.when(F.col("_c.identity").isNotNull(), F.struct(*_typed(F.col("_c.identity"), schema))).alias("old"),
+        _typed("_new", schema).alias("new"),
+        _typed("_old", schema).alias("old"),
     )
 
 
