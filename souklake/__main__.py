@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from souklake.operators import silver, synth
 from souklake.plans import batch, history, validate
-from souklake.schemas import DIMENSIONS, TABLES
+from souklake.schemas import SCHEMAS, TABLES, Domain
 from souklake.session import session
 from souklake.sources.snapshot import exported_snapshot
 from souklake.sources.tables import path_exists, write_table
@@ -24,13 +24,19 @@ def _snapshot(spark: SparkSession, root: str) -> batch.SnapshotReader:
 
 
 def _seed(spark: SparkSession, root: str) -> dict[str, int]:
-    """Write the dimensions' seed rows below a snapshot root; existing tables stay as they are."""
+    """Write the ten tables below a snapshot root, the dimensions seeded and the facts empty;
+    existing tables stay as they are."""
     written = {}
     now = F.current_timestamp().cast("timestamp_ntz")
-    for table, rows in synth.Domain().dimension_rows().items():
-        if not path_exists(spark, f"{root}/{table}"):
-            frame = synth.seed_rows(synth.row_numbers(spark, 1, rows), table, now)
-            written[table] = write_table(frame, f"{root}/{table}")
+    rows = Domain().dimension_rows()
+    for table in TABLES:
+        if path_exists(spark, f"{root}/{table}"):
+            continue
+        if table in rows:
+            frame = synth.seed_rows(synth.row_numbers(spark, 1, rows[table]), table, now)
+        else:
+            frame = spark.createDataFrame([], SCHEMAS[table])
+        written[table] = write_table(frame, f"{root}/{table}")
     return written
 
 
@@ -43,12 +49,13 @@ def _land(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
     target = (changes, args.landing, args.checkpoint, args.database)
     if args.drain:
         return {"landed_changes": drain(*target)}
-    query = land(*target, follow=True, poll=args.poll)
+    landed: list[int] = []
+    query = land(*target, follow=True, poll=args.poll, on_batch=landed.append)
     if args.idle_exit_seconds is None:
         query.awaitTermination()
     else:
         stop_when_idle(query, args.idle_exit_seconds)
-    return {"landed_batches": len(query.recentProgress)}
+    return {"landed_changes": sum(landed)}
 
 
 def _check(spark: SparkSession, args: argparse.Namespace) -> dict[str, int | str]:
@@ -72,7 +79,7 @@ def parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("history", help="synthesise bronze history up to a byte budget")
     job.add_argument("--bronze", required=True)
     job.add_argument("--budget", type=int, default=history.DEFAULT_BUDGET)
-    job = jobs.add_parser("seed", help=f"write the {len(DIMENSIONS)} seeded dimensions")
+    job = jobs.add_parser("seed", help="write the operational tables: seeded dimensions, empty facts")
     job.add_argument("--snapshot", required=True)
     job = jobs.add_parser("land", help="land a folder of change files")
     job.add_argument("--changes", required=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
@@ -38,21 +38,24 @@ def envelope_line() -> Column:
     return F.concat(F.substr(change, F.lit(1), F.length(change) - 1), F.lit(","), F.substr(head, F.lit(2)))
 
 
-def write_landing(envelopes: DataFrame, root: str, batch: str) -> None:
-    """Store one batch. The batch is part of the path and its partitions are overwritten, so a
+def write_landing(envelopes: DataFrame, root: str, batch: str) -> int:
+    """Store one batch; returns the changes written. The batch is part of the path and its partitions are overwritten, so a
     retried batch replaces what a lost attempt left. Rebalancing by table keeps small tables in
     one file and lets adaptive execution split a table that holds most of the batch."""
     lines = with_hour(envelopes).select(
         envelope_line().alias("value"), "table", "ingest_date", "hour", F.lit(batch).alias("batch")
     )
+    seen = Observation()
     (
         lines.hint("rebalance", "table")
+        .observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "gzip")
         .partitionBy(*PARTITIONS)
         .text(root)
     )
+    return seen.get["rows"]
 
 
 def _envelopes(raw: DataFrame) -> DataFrame:

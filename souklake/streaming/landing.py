@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import time
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -28,12 +29,18 @@ def land(
     follow: bool = False,
     poll: str = POLL,
     ingested_at: Column | None = None,
+    on_batch: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
-    """Start landing a stream of (lsn, xid, raw) rows: drain what there is, or follow."""
+    """Start landing a stream of (lsn, xid, raw) rows: drain what there is, or follow.
+
+    `on_batch` hears how many changes each stored batch has.
+    """
     feed = hashlib.sha256(checkpoint.encode()).hexdigest()[:8]
 
     def store(batch: DataFrame, number: int) -> None:
-        write_landing(batch, root, f"{feed}-{number:012d}")
+        rows = write_landing(batch, root, f"{feed}-{number:012d}")
+        if on_batch:
+            on_batch(rows)
 
     writer = (
         envelope(changes, database, ingested_at)
@@ -46,9 +53,9 @@ def land(
 
 def drain(*args, **options) -> int:
     """Land everything available and return; the result is the number of landed changes."""
-    query = land(*args, follow=False, **options)
-    query.awaitTermination()
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+    landed: list[int] = []
+    land(*args, follow=False, on_batch=landed.append, **options).awaitTermination()
+    return sum(landed)
 
 
 def stop_when_idle(query: StreamingQuery, seconds: float) -> None:
