@@ -33,6 +33,9 @@ LEAST_ROWS = 1_000
 OVERSHOOT = 1.05
 LAST = TABLES[-1]
 
+# A segment is one Spark write and the unit of resumption, so it is bounded.
+SEGMENT_FILES = 10_000
+
 
 def plan_sizes(widths: DataFrame, budget: int, domain: Domain = Domain()) -> DataFrame:
     """Target bytes and rows per table from measured bytes per row (`table`, `bytes_per_row`).
@@ -103,7 +106,7 @@ def grow_table(
 ) -> Progress:
     """Append segments until the table has its rows (when fixed) or else its bytes.
 
-    The first segment nearly always suffices; a further one only makes up for the estimate.
+    The last segment is nearly always right; a further one only makes up for the estimate.
     """
     per_row = done.bytes / done.rows if done.rows else None
     while done.rows < target_rows if target_rows is not None else done.bytes < target_bytes:
@@ -114,6 +117,7 @@ def grow_table(
             rows = target_rows - done.rows
         else:
             rows = max(LEAST_ROWS, math.ceil((target_bytes - done.bytes) / per_row))
+        rows = min(rows, max(LEAST_ROWS, int(SEGMENT_FILES * file_bytes / per_row)))
         parts = max(1, math.ceil(rows * per_row / file_bytes))
         size = write_segment(spark, root, table, done.next_row, rows, parts, domain)
         done = Progress(done.bytes + size, done.rows + rows, done.next_row + rows)

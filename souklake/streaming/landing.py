@@ -16,8 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from souklake.operators.changes import deduplicate_stream, envelope
 from souklake.sources.landing import stream_landing, write_landing
 
-# Size of a batch in changes (when the source can count them) and poll interval.
-BATCH_CHANGES = 500
+# Fixed value: poll interval. The size of a batch is the source's to bound (files per trigger).
 POLL = "1 second"
 
 

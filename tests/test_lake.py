@@ -163,6 +163,14 @@ def test_snapshot_query_is_quoted_and_partitioned():
     ]
 
 
+def test_segments_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(history, "SEGMENT_FILES", 2)
+    done = history.grow_table(spark, str(tmp_path), "buyers", 0, 5_000, history.Progress(), DOMAIN, file_bytes=30_000, probe_rows=1_000)
+    ledger = bronze.read_ledger(spark, str(tmp_path))
+    assert done.rows == 5_000 and ledger.count() > 1
+    assert bronze.read_bronze(spark, str(tmp_path), "buyers").select("AcqCode").distinct().count() == 5_000
+
+
 def test_files_follow_the_target_size(spark, tmp_path):
     done = history.grow_table(spark, str(tmp_path), "transactions", 600_000, None, history.Progress(), DOMAIN, file_bytes=100_000, probe_rows=2_000)
     files = glob.glob(f"{tmp_path}/transactions/*/*.parquet")
