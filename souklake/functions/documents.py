@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 _NUMBER = r"\A(?:TINYINT|SMALLINT|INT|BIGINT|DECIMAL|FLOAT|DOUBLE)"
 # Numbers whose text a variant does not keep: trailing zeros, exponents, very many digits.
-_LOSSY = r"\.[0-9]*0(?![0-9])|[0-9][eE]|[0-9.]{16}"
+_LOSSY = r"[:,\[\s]-?(?:[0-9]+\.[0-9]*0(?![0-9])|[0-9.]+[eE]|[0-9.]{16})"
 
 _NUMERIC_TEXT = (
     r"(?i)\A\s*([-+]?(?:[0-9]+\.?[0-9]*(?:e[-+]?[0-9]+)?|\.[0-9]+(?:e[-+]?[0-9]+)?|inf|infinity|nan))\s*\z"
@@ -25,19 +25,21 @@ def _quoted(text: Column) -> Column:
     return F.substr(boxed, F.lit(2), F.length(boxed) - 2)
 
 
+def _rendered(variant: Column) -> Column:
+    return F.coalesce(F.to_json(variant), F.lit("null"))
+
+
 def _members(document: Column, number: Callable[[Column], Column]) -> Column:
-    """Map of member name to the text of its value; the document is parsed once per use."""
+    """Map of member name to the text of its value; number texts are read only where they matter."""
+    variants = F.from_json(document, "map<string,variant>")
 
-    def rendered(_name: Column, text: Column, variant: Column) -> Column:
-        return F.when(F.schema_of_variant(variant).rlike(_NUMBER), number(text)).otherwise(
-            F.coalesce(F.to_json(variant), F.lit("null"))
-        )
+    def exact(_name: Column, text: Column, variant: Column) -> Column:
+        is_number = F.schema_of_variant(variant).rlike(_NUMBER)
+        return F.when(is_number, number(text)).otherwise(_rendered(variant))
 
-    return F.map_zip_with(
-        F.from_json(document, "map<string,string>"),
-        F.from_json(document, "map<string,variant>"),
-        rendered,
-    )
+    with_texts = F.map_zip_with(F.from_json(document, "map<string,string>"), variants, exact)
+    plain = F.transform_values(variants, lambda _name, variant: _rendered(variant))
+    return F.when(document.rlike(_LOSSY), with_texts).otherwise(plain)
 
 
 def _object(members: Column) -> Column:
