@@ -26,9 +26,9 @@ from pyspark.sql import DataFrame
 from .text import slices, to_bytes
 
 #: Chunks kept with their ids in a worker process before it starts anew.
-KEPT_CHUNKS = 1_500_000
+KEPT_CHUNKS = 700_000
 #: Bytes of text whose new words are merged together.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 12 << 20
 
 
 class Vocabulary:
@@ -181,15 +181,17 @@ class Vocabulary:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [text.split(" ") for text in texts]
-        firsts = [parts.pop(0) for parts in split]
-        chunks = set().union(*split) if split else set()
+        chunks: set[str] = set()
+        for text in texts:  # split again below: pieces of a whole block would take far more memory
+            chunks.update(text.split(" ")[1:])
         new = chunks - self.known.keys()
         if new:
             # `learn` may start anew, so that chunks known before are new again.
             self.learn(new if len(self.known) + len(new) <= KEPT_CHUNKS else chunks)
+        del chunks, new
         known, found = self.known.__getitem__, []
-        for text, first, parts in zip(texts, firsts, split):
+        for text in texts:
+            first, *parts = text.split(" ")
             try:
                 found.append((self.find(first), b"".join(map(known, parts))))
             except TypeError:  # a chunk without ids of its own

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality_model, quality_rules, secrets, shards
+from . import bpe, decontaminate, minhash, quality_model, quality_rules, secrets, shards
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
@@ -58,6 +58,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     machine = quality_model.fit(docs, labels, usable=quality_model.fold() != 2)
@@ -80,6 +84,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_secret_scan": op5_secret_scan,
     "op7_bpe": op7_bpe,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_quality_model": op9_quality_model,
     "op10_shard_documents": op10_shard_documents,
 }
