@@ -26,9 +26,15 @@ from pyspark.sql import DataFrame
 from .text import slices, to_bytes
 
 #: Chunks kept with their ids in a worker process before it starts anew.
-KEPT_CHUNKS = 700_000
+KEPT_CHUNKS = 400_000
 #: Bytes of text whose new words are merged together.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
+
+
+def read_ranks(lines: bytes) -> dict[bytes, int]:
+    """Ranks by token of a tiktoken file."""
+    pairs = (line.split() for line in lines.splitlines() if line.strip())
+    return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
 class Vocabulary:
@@ -39,20 +45,10 @@ class Vocabulary:
     """
 
     def __init__(self, lines: bytes, pattern: str):
-        ranks = {}
-        for line in lines.splitlines():
-            if line.strip():
-                token, rank = line.split()
-                ranks[base64.b64decode(token)] = int(rank)
+        ranks = read_ranks(lines)
         self.ranks = ranks
         self.find = regex.compile(pattern).findall
         size = max(ranks.values()) + 2
-        bytes_of = [b""] * size
-        for token, rank in ranks.items():
-            bytes_of[rank] = token
-        self.buffer = np.frombuffer(b"".join(bytes_of), np.uint8)
-        self.sizes = np.array([len(token) for token in bytes_of])
-        self.starts = np.cumsum(self.sizes) - self.sizes
         self.byte = np.array([ranks[bytes([value])] for value in range(256)], np.int32)
         pairs = np.array(
             [
@@ -200,8 +196,20 @@ class Vocabulary:
         ids = dict(zip(words, self.ids_of(words)))
         return [b"".join([*[ids[word] for word in head], rest]) for head, rest in found]
 
+
+class Decoder:
+    """Bytes of all tokens in one buffer."""
+
+    def __init__(self, lines: bytes):
+        ranks = read_ranks(lines)
+        tokens = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.buffer = np.frombuffer(b"".join(tokens), np.uint8)
+        self.sizes = np.array([len(token) for token in tokens])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
     def decode(self, ids: bytes) -> bytes:
-        """Bytes of the ids; a token's bytes are gathered from one buffer of all tokens."""
         tokens = np.frombuffer(ids, "<u4")
         sizes = self.sizes[tokens]
         ends = np.cumsum(sizes)
@@ -216,6 +224,11 @@ def _vocabulary(lines: bytes, pattern: str) -> Vocabulary:
     return Vocabulary(lines, pattern)
 
 
+@functools.lru_cache(maxsize=2)
+def _decoder(lines: bytes) -> Decoder:
+    return Decoder(lines)
+
+
 def vocabulary_lines(path: str) -> bytes:
     """The rank file; it is read once, where the job is planned, and is part of the job."""
     with open(path, "rb") as file:
@@ -243,14 +256,14 @@ def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id",
     return docs.mapInArrow(task, f"`{id_column}` {kind}, n_tokens long, ids binary")
 
 
-def decode(encoded: DataFrame, path: str, pattern: str, ids_column: str = "ids") -> DataFrame:
+def decode(encoded: DataFrame, path: str, ids_column: str = "ids") -> DataFrame:
     """The encoded rows with `decoded`, the bytes that their ids stand for."""
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary_lines(path))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _vocabulary(shared.value, pattern)
+        decoder = _decoder(shared.value)
         for batch in slices(batches, ids_column, BLOCK_BYTES):
-            texts = [vocabulary.decode(ids or b"") for ids in batch.column(ids_column).to_pylist()]
+            texts = [decoder.decode(ids or b"") for ids in batch.column(ids_column).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, "decoded"])
 
     fields = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in encoded.schema.fields)

@@ -7,8 +7,9 @@ shingles is dealt together, and dealing stops as soon as no place can improve.
 
 Steps, none of which brings a group of copies into one task:
 1. Documents with equal sets become one class (grouped by a 128-bit digest, folded before the shuffle).
-2. Classes that share a band of their signatures are candidates. A bucket gives edges to its smallest
-   class only; the connected parts of these edges are the candidate groups (ids only).
+2. Classes that share a band of their signatures are candidates. A bucket is known by its smallest
+   class; a class points to the least of its buckets' and these to it, about one edge a class. The
+   connected parts of these edges are the candidate groups (ids only).
 3. The sets of a candidate group are dealt out in chunks of bounded size; each pair of chunks is one
    group of rows, in which an inverted index over the rarest shingles of each set finds the pairs that
    can reach the similarity, and full sets confirm them. Only a spanning forest of the confirmed links
@@ -179,7 +180,9 @@ def duplicates(
     # 2. Buckets of at least two classes; each points to its smallest one.
     bands = classes.select("class", F.posexplode("bands").alias("band", "hash"))
     smallest = bands.groupBy("band", "hash").agg(F.min("class").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
-    edges = bands.join(smallest, ["band", "hash"]).where("class <> b").select(F.col("class").alias("a"), "b")
+    # A class meets at most one smallest class per band: it points to the least of them, they to each other.
+    met = bands.join(smallest, ["band", "hash"]).groupBy("class").agg(F.min("b").alias("b"), F.collect_set("b").alias("others"))
+    edges = met.select(F.explode(F.concat(F.array("class"), "others")).alias("a"), "b").where("a <> b").distinct()
     parts = components(edges).withColumnRenamed("component", "part")
     # 3. Chunks: about even over the partitions, within bounds.
     near = stored(parts.join(classes.select(F.col("class").alias("id"), "n_shingles"), "id"))
@@ -187,7 +190,7 @@ def duplicates(
     size = max(LEAST_CHUNK, min(CHUNK_SHINGLES, total // max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     chunks = near.groupBy("part").agg(F.ceil(F.sum("n_shingles") / F.lit(size)).cast("int").alias("chunks"))
     placed = near.join(chunks, "part").select("id", "part", "chunks", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"))
-    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(placed, "id")
+    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).hint("merge").join(placed, "id")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

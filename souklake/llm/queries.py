@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, minhash, quality_model, quality_rules, secrets, shards
+from . import bpe, decontaminate, html_text, minhash, quality_model, quality_rules, secrets, shards, substrings, suffixes
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
@@ -16,6 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicate(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -50,9 +58,14 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extracted(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path, pattern), path, pattern)
+    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path, pattern), path)
     return decoded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
@@ -80,9 +93,12 @@ def op10_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op4_quality_rules": op4_quality_rules,
     "op5_secret_scan": op5_secret_scan,
+    "op6_main_text": op6_main_text,
     "op7_bpe": op7_bpe,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_quality_model": op9_quality_model,
