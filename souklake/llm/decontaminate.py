@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import to_bytes
+from .text import filtered, to_bytes
 
 WINDOW = 13
 AUTOMATON_BYTES = 64 << 20
@@ -121,7 +121,7 @@ def scan(
     context = docs.sparkSession.sparkContext
 
     def scanned(patterns: list[tuple[bytes, tuple]]) -> DataFrame:
-        key = hashlib.sha256(repr(sorted(patterns, key=lambda x: x[0])).encode()).hexdigest()
+        key = _key(patterns)
         shared = context.broadcast(tuple(patterns))
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,6 +160,39 @@ def scan(
     return _merged(docs, [scanned(group) for group in groups], id_column, text_column)
 
 
+def contaminated(n_words: int, n_hit: int) -> bool:
+    """At least one word in twenty is hit."""
+    return n_hit > 0 and 20 * n_hit >= n_words
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_id_column: str = "item_id", item_text_column: str = "text", width: int = WINDOW, limit: int = AUTOMATON_BYTES) -> DataFrame:
+    """The rows, with all their columns, that are not contaminated.
+
+    With several automata, the hit words of a row are united before it is judged: one automaton after
+    the other within a task, each built from its group of patterns.
+    """
+    groups = list(_groups(benchmark, item_id_column, item_text_column, width, limit))
+    shared = [(_key(group), docs.sparkSession.sparkContext.broadcast(tuple(group))) for group in groups]
+
+    def judge():
+        def passes(texts: list[bytes]) -> list[bool]:
+            hits: list[np.ndarray] = [np.zeros(0, bool)] * len(texts)
+            for number, (key, patterns) in enumerate(shared):
+                automaton = _automaton(key, patterns.value)
+                for i, text in enumerate(texts):
+                    hit = find(text, automaton)[1]
+                    hits[i] = hits[i] | hit if number else hit
+            return [not contaminated(len(hit), int(hit.sum())) for hit in hits]
+
+        return passes
+
+    return filtered(docs, text_column, judge)
+
+
+def _key(patterns: list[tuple[bytes, tuple]]) -> str:
+    return hashlib.sha256(repr(sorted(patterns, key=lambda x: x[0])).encode()).hexdigest()
+
+
 def _merged(docs: DataFrame, parts: list[DataFrame], id_column: str, text_column: str) -> DataFrame:
     """Results of several automata as one: runs are united, words in them counted anew."""
     found = parts[0]

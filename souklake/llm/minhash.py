@@ -218,6 +218,17 @@ def duplicates(
     return result.unionByName(alone.select(F.lit(None).cast("long").alias(id_column), "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept")))
 
 
+def without_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = 85, words: int = WORDS) -> DataFrame:
+    """The rows, with all their columns, of one document per group: the one with the smallest id.
+
+    Of repeated rows (same id) one stays; rows without id stay.
+    """
+    found = duplicates(docs, id_column, text_column, percent, words)
+    kept = found.where(F.col("kept") & F.col(id_column).isNotNull()).select(id_column)
+    named = docs.where(F.col(id_column).isNotNull()).join(kept.hint("merge"), id_column, "left_semi").dropDuplicates([id_column])
+    return named.select(*docs.columns).unionByName(docs.where(F.col(id_column).isNull()))
+
+
 def described_alone(docs: DataFrame, text_column: str, words: int = WORDS) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import WHITE, mix, to_bytes, window_hashes, word_hashes, word_spans
+from .text import WHITE, filtered, mix, to_bytes, window_hashes, word_hashes, word_spans
 
 SAMPLE_ROWS = 8_000
 WORD_BITS = 14
@@ -221,3 +221,14 @@ def score(docs: DataFrame, machine: Machine, id_column: str = "doc_id", text_col
 
     kind = docs.schema[id_column].dataType.simpleString()
     return docs.mapInArrow(task, f"`{id_column}` {kind}, score double")
+
+
+def accepted(docs: DataFrame, machine: Machine, least: float = 0.7, text_column: str = "text") -> DataFrame:
+    """The rows, with all their columns, that score `least` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(machine.packed())
+
+    def judge():
+        held = _unpacked(shared.value)
+        return lambda texts: [bool(x >= least) for i in range(0, len(texts), 32) for x in held.scores([features(text) for text in texts[i : i + 32]])]
+
+    return filtered(docs, text_column, judge)

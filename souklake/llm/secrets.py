@@ -39,7 +39,7 @@ _HEX_RUN = re.compile(r"[0-9a-f]{24}")
 _STATEMENT = re.compile(
     r"""(?P<name>[A-Za-z_][A-Za-z0-9_.-]*)["'`]?[\x20\t]*(?:=>|:=|[:=](?!=))[\x20\t]*"""
     r"""(?:(?P<quoted>"[^"\n]*"|'[^'\n]*')(?P<more>(?:[\x20\t]*\+?[\x20\t]*(?:"[^"\n]*"|'[^'\n]*'))*)"""
-    r"""|(?P<bare>[^\s"'`,;(){}\[\]]+))"""
+    r"""|(?P<bare>[^\s"'`,;(){}\[\]]*[^\s"'`,;(){}\[\].:=!?]))"""
     r"""|<(?P<tag>[A-Za-z_][\w.-]*)>(?P<inner>[^<>\s]+)</(?P=tag)>""",
     re.ASCII,
 )
@@ -157,3 +157,21 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
     schema = f"`{id_column}` {kind}, spans array<struct<kind:string,start:bigint,end:bigint>>"
     return docs.mapInArrow(task, schema + (", redacted string" if redact else ""))
+
+
+def redacted(docs: DataFrame, text_column: str = "text", length_column: str | None = None, mark: str = "[SECRET]") -> DataFrame:
+    """All rows and columns, with the mark in place of secrets and the length column set to the code points left."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(text_column)
+            texts = [text and redact_text(text, scan_text(text), mark) for text in batch.column(at).to_pylist()]
+            columns = list(batch.columns)
+            columns[at] = pa.array(texts, batch.schema.field(at).type)
+            if length_column:
+                place = batch.schema.get_field_index(length_column)
+                lengths = [old if text is None else len(text) for text, old in zip(texts, batch.column(place).to_pylist())]
+                columns[place] = pa.array(lengths, batch.schema.field(place).type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return docs.mapInArrow(task, docs.schema)

@@ -6,10 +6,11 @@ polynomial hashes of the bytes, taken from prefix sums, so that a text costs a f
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -91,6 +92,17 @@ def to_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [value or b"" for value in column.cast(pa.large_binary()).to_pylist()]
 
 
+def filtered(docs: DataFrame, column: str, judge: Callable[[], Callable[[list[bytes]], list[bool]]]) -> DataFrame:
+    """The rows, with all their columns, whose text passes. `judge` is called once per task."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passes = judge()
+        for batch in batches:
+            yield batch.filter(pa.array(passes(to_bytes(batch.column(column))), pa.bool_()))
+
+    return docs.mapInArrow(task, docs.schema)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that one holds about `limit` bytes of the column, or one row."""
     for batch in batches:
