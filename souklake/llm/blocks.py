@@ -183,30 +183,49 @@ def send_cells(cells: np.ndarray, bits: int, shard_bits: int, offset: int = 0) -
     return [(offset + i, pack_sorted(low[a:b])) for i, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())) if b > a]
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Distinct values of a sorted array."""
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new]
+
+
+class Members:
+    """Membership in sorted values: a table of low bits first, a search for what passes it."""
+
+    BITS = 22
+
+    def __init__(self, values: np.ndarray):
+        self.values = values
+        self.low = np.zeros(1 << self.BITS, bool)
+        self.low[(values & np.uint64((1 << self.BITS) - 1)).astype(np.int64)] = True
+
+    def __call__(self, asked: np.ndarray) -> np.ndarray:
+        found = self.low[(asked & np.uint64((1 << self.BITS) - 1)).astype(np.int64)]
+        at = np.flatnonzero(found)
+        if len(at):
+            some = asked[at]
+            found[at] = self.values[np.minimum(np.searchsorted(self.values, some), len(self.values) - 1)] == some
+        return found
+
+
 def merge_cells(data: list[bytes]) -> list[bytes | None]:
     """Adds the blocks' counts of a shard and tells each block which of its cells count two or more."""
     blocks = [unpack_sorted(x) for x in data]
     cells = np.sort(np.concatenate(blocks))
-    full = np.unique(cells[1:][cells[1:] == cells[:-1]])
+    full = distinct(cells[1:][cells[1:] == cells[:-1]])
+    member = Members(full)
     found = []
     for own in blocks:
-        own = np.unique(own)
-        at = np.minimum(np.searchsorted(full, own), max(0, len(full) - 1))
-        hit = own[full[at] == own] if len(full) else own[:0]
+        hit = distinct(own[member(own)])
         found.append(pack_sorted(hit) if len(hit) else None)
     return found
 
 
-def full_cells(told: dict, kind: str, bits: int, shard_bits: int, offset: int = 0) -> np.ndarray:
-    """Sorted cells of a block that count two or more."""
+def full_cells(told: dict, kind: str, bits: int, shard_bits: int, offset: int = 0) -> Members:
+    """Cells of a block that count two or more."""
     each = np.uint64(bits - shard_bits)
     parts = [
         unpack_sorted(told[kind, offset + shard]) + (np.uint64(shard) << each) for shard in range(1 << shard_bits) if (kind, offset + shard) in told
     ]
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-
-
-def member(full: np.ndarray, cells: np.ndarray) -> np.ndarray:
-    if not len(full):
-        return np.zeros(len(cells), bool)
-    return full[np.minimum(np.searchsorted(full, cells), len(full) - 1)] == cells
+    return Members(np.concatenate(parts) if parts else np.zeros(0, np.uint64))

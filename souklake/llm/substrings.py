@@ -54,7 +54,7 @@ class Plan:
         owner, place, keys = [], [], []
         for i in block.open:
             hashes = window_hashes(word_hashes(block.texts[i]), self.width)
-            hit = np.flatnonzero(np.logical_and.reduce([B.member(full[row], self.cells(hashes, row)) for row in range(DEPTH)]))
+            hit = np.flatnonzero(np.logical_and.reduce([full[row](self.cells(hashes, row)) for row in range(DEPTH)]))
             if len(hit):
                 words = block.texts[i].split()
                 line = b" ".join(words)

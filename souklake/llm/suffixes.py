@@ -8,10 +8,10 @@ takes both to a covered residue.
    or more mark the suffixes before them as candidates. All others are unique.
 2. Buckets: a candidate goes to a suffix bucket by the least hash of the 16-byte strings in its WIDTH
    bytes; neighbours with one bucket travel as one fragment of text, once per block of documents.
-3. A task sorts the suffixes of its bucket: ranks of the samples of a cover of 7 are computed first;
-   then one inner bucket of suffixes at a time is sorted by its first 7 bytes, and longer ties by
-   sample ranks: a suffix's place is the number of smaller suffixes of each residue, counted at the
-   shift that both residues share. Equal strings are then neighbours, compared in full.
+3. A task sorts the suffixes of its bucket by 16 bytes. For ties, ranks of the samples of a cover of 7
+   are computed first; then one inner bucket of tied suffixes at a time is resolved by sample ranks: a
+   suffix's place is the number of smaller suffixes of each residue, counted at the shift that both
+   residues share. Equal strings are then neighbours, compared in full.
 
 Bytes inside a string of WIDTH bytes that also starts in a document with a smaller id are removed;
 strings are judged on the input and do not cross documents. Null texts are empty. Documents with one
@@ -35,6 +35,8 @@ WIDTH = 50
 SAMPLE_PERIOD, SAMPLE_COVER = 21, (3, 6, 7, 12, 14)
 SORT_PERIOD, SORT_COVER = 7, (0, 1, 3)
 GRAM = 16
+#: Bytes compared before ranks; at least SORT_PERIOD.
+HEAD = 16
 CELLS_PER_SAMPLE = 256
 BUCKET_BYTES = 16 << 20
 INNER_SUFFIXES = 1 << 20
@@ -68,25 +70,25 @@ class Plan:
         self.shard_bits = B.width_bits(samples / B.SHARD_KEYS, 0)
         self.buckets = int(4 * size // BUCKET_BYTES) + 1
 
-    def samples(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Sampled positions of a text and the cells of their strings."""
+    def samples(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sampled positions of a text, the cells of their strings, and the text's prefix sums."""
         count = len(text) - self.gram + 1
         if len(text) < self.width:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(1, np.uint64)
         periods = np.arange(0, count + SAMPLE_PERIOD, SAMPLE_PERIOD)[:, None] + np.array(SAMPLE_COVER)
         starts = periods.ravel()
         starts = starts[starts < count]
         sums = prefix_sums(np.frombuffer(text, np.uint8))
-        return starts, string_hashes(sums, starts, self.gram) >> np.uint64(64 - self.bits)
+        return starts, string_hashes(sums, starts, self.gram) >> np.uint64(64 - self.bits), sums
 
     def sample(self, block: B.Block, told: dict) -> list[tuple[int, bytes]]:
         cells = np.concatenate([np.zeros(0, np.uint64), *(np.unique(self.samples(block.texts[i])[1]) for i in block.open)])
         return B.send_cells(cells, self.bits, self.shard_bits)
 
-    def pieces(self, text: bytes, full: np.ndarray) -> list[tuple[int, int, int]]:
+    def pieces(self, text: bytes, full: B.Members) -> list[tuple[int, int, int]]:
         """(bucket, first, end) of the runs of candidate suffixes of one bucket."""
-        starts, cells = self.samples(text)
-        hit = starts[B.member(full, cells)]
+        starts, cells, sums = self.samples(text)
+        hit = starts[full(cells)]
         if not len(hit):
             return []
         count = len(text) - self.width + 1
@@ -97,8 +99,7 @@ class Plan:
         if not len(wanted):
             return []
         begin, end = int(wanted[0]), int(wanted[-1]) + 1
-        data = np.frombuffer(text, np.uint8)[begin : end + self.width - 1]
-        grams = string_hashes(prefix_sums(data), np.arange(len(data) - GRAM + 1), GRAM)
+        grams = string_hashes(sums, np.arange(begin, end + self.width - GRAM), GRAM)
         span, least = self.width - GRAM + 1, grams
         size = 1
         while size < span:
@@ -154,21 +155,21 @@ class Plan:
             if ("sort", bucket) in told:
                 smaller = np.unpackbits(np.frombuffer(told["sort", bucket], np.uint8), count=int(sizes.sum())).astype(bool)
                 bits[bucket] = np.split(smaller, np.cumsum(sizes)[:-1])
-        removed: dict[int, list[np.ndarray]] = {}
-        for i, first, fragment, count in found:
-            if block.ids[i] > fragment.least:
-                removed.setdefault(i, []).append(np.arange(first, first + count))
-            elif fragment.bucket in bits:
-                at = np.flatnonzero(bits[fragment.bucket][fragment.number])
-                if len(at):
-                    removed.setdefault(i, []).append(at + first)
+        # Removed suffixes of all occurrences at once: whole fragments under a larger id, else by bit.
+        owner, first, count = (np.array(column, np.int64) for column in ([x[0] for x in found], [x[1] for x in found], [x[3] for x in found]))
+        whole = block.ids[owner] > np.array([x[2].least for x in found], np.int64)
+        steps = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        flags = [np.ones(n, bool) if all_of else bits[x.bucket][x.number] if x.bucket in bits else np.zeros(n, bool) for all_of, (_, _, x, n) in zip(whole.tolist(), found)]
+        gone = np.concatenate([np.zeros(0, bool), *flags])
+        place, owner = (np.repeat(first, count) + steps)[gone], np.repeat(owner, count)[gone]
+        cuts = np.searchsorted(owner, np.arange(len(block.ids) + 1))
         rows = []
         for i, text in enumerate(block.texts):
             size = len(text)
             if block.copy[i]:
                 mask = np.full(size, size >= self.width)
-            elif i in removed:
-                mask = covered(size, np.concatenate(removed[i]), self.width)
+            elif cuts[i + 1] > cuts[i]:
+                mask = covered(size, place[cuts[i] : cuts[i + 1]], self.width)
             else:
                 mask = np.zeros(size, bool)
             edges = np.flatnonzero(np.diff(np.concatenate(([False], mask, [False])).astype(np.int8)))
@@ -203,25 +204,27 @@ def sort_bucket(data: list[bytes], width: int) -> list[bytes | None]:
     suffixes = np.repeat(starts - firsts, counts) + np.arange(counts.sum())
     least = np.repeat(owners, counts)
 
+    # Suffixes alone with their first bytes are sorted already; only ties need ranks.
+    head = _words(buffer, suffixes, HEAD)
+    by_head = np.lexsort(head[::-1])
+    tie = np.zeros(len(by_head) + 1, bool)  # equal to the one before
+    tie[1:-1] = np.logical_and.reduce([word[by_head[1:]] == word[by_head[:-1]] for word in head])
+    tied = tie[:-1] | tie[1:]
+    by_head, group = by_head[tied], np.cumsum(~tie[:-1])[tied]
+    del head
+
     # Ranks of the cover samples that ties can ask for.
     reach = np.zeros(len(buffer), bool)
     for d in range(SORT_PERIOD):
-        reach[suffixes + d] = True
-    sampled = np.flatnonzero(reach)
-    sampled = sampled[np.isin(sampled % SORT_PERIOD, SORT_COVER)]
-    words = _words(buffer, sampled, width)
-    order = np.lexsort(words[::-1])
-    new = np.zeros(len(order), bool)
-    for word in words:
-        new[1:] |= word[order[1:]] != word[order[:-1]]
+        reach[suffixes[by_head] + d] = True
+    reach &= np.isin(np.arange(SORT_PERIOD), SORT_COVER)[np.arange(len(buffer)) % SORT_PERIOD]
     rank = np.zeros(len(buffer), np.int64)
-    rank[sampled[order]] = np.cumsum(new)
-    del words, reach, sampled, order, new
+    sampled = np.flatnonzero(reach)
+    rank[sampled] = _ranks(buffer, sampled, width)
+    del reach, sampled
 
-    # Inner buckets: ranges of the first bytes with about INNER_SUFFIXES suffixes.
-    head = np.ndarray((len(buffer) - 7,), ">u8", buffer=buffer, strides=(1,))[suffixes].astype(np.uint64) >> np.uint64(8)
-    by_head = np.argsort(head, kind="stable")
-    edges = np.flatnonzero(np.diff(head[by_head])) + 1
+    # Inner buckets: whole groups of tied suffixes, about INNER_SUFFIXES at a time.
+    edges = np.flatnonzero(np.diff(group)) + 1
     cuts = [0]
     for aim in range(INNER_SUFFIXES, len(by_head), INNER_SUFFIXES):
         at = np.searchsorted(edges, aim)
@@ -231,32 +234,58 @@ def sort_bucket(data: list[bytes], width: int) -> list[bytes | None]:
     for a, b in zip(cuts, [*cuts[1:], len(by_head)]):
         inner = by_head[a:b]
         if len(inner) > 1:
-            at = inner[_inner_order(suffixes[inner], head[inner], rank)]
-            words = _words(buffer, suffixes[at], width)
+            at = inner[_inner_order(suffixes[inner], group[a:b] - group[a], rank)]
             first = np.ones(len(at), bool)
-            first[1:] = np.logical_or.reduce([word[1:] != word[:-1] for word in words])
+            first[1:] = np.logical_or.reduce([word[1:] != word[:-1] for word in _words(buffer, suffixes[at], width)])
             smallest = np.minimum.reduceat(least[at], np.flatnonzero(first))
             smaller[at] = smallest[np.cumsum(first) - 1] < least[at]
     ends = np.cumsum([int((size - width + 1).sum()) for size in sizes])[:-1]
     return [np.packbits(bits).tobytes() if bits.any() else None for bits in np.split(smaller, ends)]
 
 
-def _inner_order(suffixes: np.ndarray, head: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Order of suffixes sorted by head already: ties by sample ranks at the shift two residues share."""
-    group = np.cumsum(np.concatenate(([0], (head[1:] != head[:-1]).astype(np.int64))))
-    group_first = np.searchsorted(group, np.arange(group[-1] + 1)) if len(group) else group
-    place = group_first[group]
+def _ranks(buffer: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """Rank of the `width` bytes at each position; equal strings have equal ranks.
+
+    Sorted by eight bytes after the other; only ties go on to the next eight.
+    """
+    rank = np.zeros(len(at), np.int64)
+    left = np.arange(len(at))
+    for offset in range(0, width, 8):
+        word = _words(buffer, at[left] + offset, min(8, width - offset))[0]
+        order = np.lexsort((word, rank[left]))
+        left, word = left[order], word[order]
+        own = rank[left]
+        start = np.ones(len(left), bool)  # of a group of equal ranks so far
+        start[1:] = own[1:] != own[:-1]
+        new = start.copy()
+        new[1:] |= word[1:] != word[:-1]
+        # A group's members keep its rank plus the number of members that are smaller.
+        places = np.arange(len(left))
+        rank[left] = own + (np.maximum.accumulate(np.where(new, places, 0)) - np.maximum.accumulate(np.where(start, places, 0)))
+        alone = new & np.append(new[1:], True)
+        left = left[~alone]
+        if not len(left):
+            break
+    return rank
+
+
+def _inner_order(suffixes: np.ndarray, group: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Order of suffixes in groups of ties: by sample ranks at the shift that two residues share."""
+    count = int(group[-1]) + 1
+    dense = np.concatenate(([True], group[1:] != group[:-1]))
+    place = np.flatnonzero(dense)[np.cumsum(dense) - 1]
     lists = [np.flatnonzero(suffixes % SORT_PERIOD == residue) for residue in range(SORT_PERIOD)]
     high = group << np.int64(32)
-    for one, own in enumerate(lists):
-        if not len(own):
+    for other, theirs in enumerate(lists):
+        if not len(theirs):
             continue
-        for other, theirs in enumerate(lists):
-            if not len(theirs):
-                continue
-            d = shift(one, other)
-            keys = np.sort(high[theirs] | rank[suffixes[theirs] + d])
-            place[own] += np.searchsorted(keys, high[own] | rank[suffixes[own] + d]) - np.searchsorted(keys, high[own])
+        before = np.cumsum(np.bincount(group[theirs], minlength=count)) - np.bincount(group[theirs], minlength=count)
+        shifts = [shift(one, other) for one in range(SORT_PERIOD)]
+        keys = {d: np.sort(high[theirs] | rank[suffixes[theirs] + d]) for d in set(shifts)}
+        for one, own in enumerate(lists):
+            if len(own):
+                d = shifts[one]
+                place[own] += np.searchsorted(keys[d], high[own] | rank[suffixes[own] + d]) - before[group[own]]
     return np.argsort(place, kind="stable")
 
 
