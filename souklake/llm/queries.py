@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, minhash, quality_model, quality_rules, secrets, shards, substrings, suffixes
+from . import bpe, decontaminate, html_text, minhash, oracle, quality_model, quality_rules, secrets, shards, substrings, suffixes
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
@@ -104,4 +104,7 @@ QUERIES = {
     "op9_quality_model": op9_quality_model,
     "op10_shard_documents": op10_shard_documents,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_substring_dedup": oracle.SUBSTRING_DEDUP,
+    "op10_shard_documents": oracle.shard_documents(SHARDS),
+}
