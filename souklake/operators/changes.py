@@ -133,6 +133,10 @@ def flatten(envelopes: DataFrame, schema: StructType) -> DataFrame:
     mapped = parsed.withColumns(
         {"_new": _by_name(F.col("_c.columns")), "_old": _by_name(F.col("_c.identity"))}
     )
+    # An update leaves out large values that did not change; the old image has them.
+    left_out = F.map_filter("_old", lambda name, _: ~F.array_contains(F.map_keys("_new"), name))
+    updated = (F.col("_c.action") == "U") & F.col("_old").isNotNull() & F.col("_new").isNotNull()
+    mapped = mapped.withColumn("_new", F.when(updated, F.map_concat(left_out, "_new")).otherwise(F.col("_new")))
     return mapped.select(
         "event_id",
         F.coalesce("_c.table", F.lit(UNROUTED)).alias("table"),

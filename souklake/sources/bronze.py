@@ -106,9 +106,16 @@ def bronze_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def require_tables(files: DataFrame) -> None:
-    found = {row["table"] for row in files.select("table").distinct().limit(len(TABLES) + 10).collect()}
-    if found != set(TABLES):
-        raise ValueError(f"bronze tables differ: {sorted(found ^ set(TABLES))}")
+    """Every table has files, and no file belongs to another; the message counts foreign files, however many."""
+    known = F.col("table").isin(*TABLES)
+    row = files.agg(
+        F.collect_set(F.when(known, F.col("table"))).alias("found"),
+        F.count_if(~F.coalesce(known, F.lit(False))).alias("foreign"),
+        F.min(F.when(~F.coalesce(known, F.lit(False)), F.col("path"))).alias("example"),
+    ).first()
+    missing = sorted(set(TABLES) - set(row["found"]))
+    if missing or row["foreign"]:
+        raise ValueError(f"bronze tables differ: missing {missing}; {row['foreign']} files of no table, such as {row['example']}")
 
 
 def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:

@@ -26,13 +26,14 @@ def _partitioned(schema: StructType) -> StructType:
 
 
 def envelope_line() -> Column:
-    """One JSON object per envelope. The change is embedded as it came, so its text survives;
-    a change that is not JSON is stored as a JSON string."""
+    """One JSON object per envelope. A change that is a JSON object on one line is embedded as it came,
+    so its text survives; anything else is stored as a JSON string, which keeps its line ends and quotes."""
     moment = F.concat(values.iso_text(F.col("ingested_at"), 6), F.lit("+00:00"))
     head = F.to_json(F.struct("event_id", moment.alias("ingested_at"), "schema_version", "source"))
     as_text = F.to_json(F.struct(F.col("change").alias("change")))
+    whole = F.try_parse_json("change").isNotNull() & F.col("change").rlike(r"^[ \t]*\{") & ~F.col("change").rlike(r"[\r\n]")
     change = F.when(
-        F.try_parse_json("change").isNotNull(), F.concat(F.lit('{"change":'), F.col("change"), F.lit("}"))
+        whole, F.concat(F.lit('{"change":'), F.col("change"), F.lit("}"))
     ).otherwise(as_text)
     # {"change":…} and {"event_id":…} become one object.
     return F.concat(F.substr(change, F.lit(1), F.length(change) - 1), F.lit(","), F.substr(head, F.lit(2)))

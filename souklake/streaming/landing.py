@@ -58,12 +58,14 @@ def drain(*args, **options) -> int:
 
 
 def stop_when_idle(query: StreamingQuery, seconds: float) -> None:
-    """Stop a following query once it has seen no change for a while."""
+    """Stop a following query once it has seen no change for a while; a running batch is no idleness."""
     idle_since, last_batch = time.monotonic(), None
     while query.isActive and time.monotonic() - idle_since < seconds:
         progress = query.lastProgress
         if progress and progress["batchId"] != last_batch and progress["numInputRows"] > 0:
             last_batch, idle_since = progress["batchId"], time.monotonic()
+        if query.status["isTriggerActive"] and query.status["isDataAvailable"]:
+            idle_since = time.monotonic()
         time.sleep(min(0.2, seconds / 4))
     query.stop()
 
