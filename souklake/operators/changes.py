@@ -19,7 +19,8 @@ CONNECTOR = "postgresql-wal2json"
 SERVICE = "postgres-source"
 UNROUTED = "_metadata"
 
-_IMAGE = "array<struct<name: string, type: string, value: string>>"
+# A variant keeps the digits of a number; text would be read through a double.
+_IMAGE = "array<struct<name: string, type: string, value: variant>>"
 CHANGE = f"action string, schema string, table string, columns {_IMAGE}, identity {_IMAGE}"
 _LSN_HALF = 2**32
 
@@ -102,9 +103,13 @@ def deduplicate(envelopes: DataFrame) -> DataFrame:
 
 
 def deduplicate_stream(envelopes: DataFrame, delay: str) -> DataFrame:
-    """Streaming form: exact among deliveries that are at most `delay` apart."""
+    """Streaming form: exact among deliveries that the stream reads at most `delay` apart.
+
+    The watermark follows the time of the micro-batch, not the event's, so a first delivery is
+    never late, however old; a repeat that is read after `delay` may stay.
+    """
     return (
-        envelopes.withColumn("_seen", F.col("ingested_at").cast("timestamp"))
+        envelopes.withColumn("_seen", F.current_timestamp())
         .withWatermark("_seen", delay)
         .dropDuplicatesWithinWatermark(["event_id"])
         .drop("_seen")
@@ -118,7 +123,9 @@ def _by_name(image: Column) -> Column:
 def _typed(values_by_name: str, schema: StructType) -> Column:
     """Typed row of an image's values, NULL without an image."""
     fields = [
-        F.try_element_at(F.col(values_by_name), F.lit(f.name)).try_cast(f.dataType).alias(f.name)
+        F.try_variant_get(
+            F.try_element_at(F.col(values_by_name), F.lit(f.name)), "$", f.dataType.simpleString()
+        ).alias(f.name)
         for f in schema
     ]
     return F.when(F.col(values_by_name).isNotNull(), F.struct(*fields))
@@ -148,15 +155,27 @@ def flatten(envelopes: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
+def _last_truncates(envelopes: DataFrame) -> Column:
+    """Map of table to the place of its last truncate: one entry a table, whatever the log holds."""
+    parsed = envelopes.where(F.get_json_object("change", "$.action") == "T")
+    last = parsed.groupBy(routed_table(F.col("change")).alias("table")).agg(
+        F.max(F.struct(lsn_number(F.col("source.lsn")), F.col("source.ordinal"))).alias("place")
+    )
+    return last.agg(F.map_from_entries(F.collect_list(F.struct("table", "place")))).scalar()
+
+
 def current_rows(
     envelopes: DataFrame, schema: StructType, key: tuple[str, ...], by_table: bool = False
 ) -> DataFrame:
     """Replay: the last image of every key in log order, deleted keys left out.
 
-    An update that changes the key ends the old one. With `by_table` the table name is part of
-    the key and of the result.
+    An update that changes the key ends the old one; a truncate ends all rows that lie before it
+    in the log (a change at the very place of the truncate stays). With `by_table` the table name
+    is part of the key and of the result.
     """
     flat = flatten(envelopes, schema)
+    truncated = F.try_element_at(_last_truncates(envelopes), F.col("table"))
+    flat = flat.where(F.coalesce(F.struct("position", "ordinal") >= truncated, F.lit(True)))
     same_key = [F.col(f"new.{name}").eqNullSafe(F.col(f"old.{name}")) for name in key]
     moved = F.lit(False)
     for same in same_key:

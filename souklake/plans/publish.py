@@ -7,18 +7,22 @@ all new ones, never a mixture.
 
 from __future__ import annotations
 
+import json
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from souklake.schemas import GOLD_SCHEMAS, SCHEMAS, SILVER_VIEWS
 from souklake.sources.tables import (
-    append_record,
+    create_once,
     delete_path,
     list_names,
     path_exists,
     read_records,
     read_table,
+    stored_schema,
 )
 
 PUBLISHED = "batch_id string, published_at timestamp, sequence bigint"
@@ -46,10 +50,18 @@ def current_batch(spark: SparkSession, lake: str) -> str | None:
 
 
 def publish(spark: SparkSession, lake: str, batch_id: str) -> None:
-    """Make a finished batch the current one."""
-    last = publication_log(spark, lake).agg(F.max("sequence").alias("n")).first()["n"] or 0
-    record = spark.createDataFrame([(batch_id, last + 1)], "batch_id string, sequence bigint")
-    append_record(record.withColumn("published_at", F.current_timestamp()), f"{lake}/_published")
+    """Make a finished batch the current one.
+
+    A record's file is named by its number and never replaced: of two publishers that saw the same
+    last number, one takes it and the other goes on to the next.
+    """
+    number = (publication_log(spark, lake).agg(F.max("sequence").alias("n")).first()["n"] or 0) + 1
+    while True:
+        moment = datetime.now(timezone.utc).isoformat()
+        record = {"batch_id": batch_id, "published_at": moment, "sequence": number}
+        if create_once(spark, f"{lake}/_published/{number:012d}.json", json.dumps(record) + "\n"):
+            return
+        number += 1
 
 
 def discard(spark: SparkSession, lake: str, batch_id: str) -> None:
@@ -88,6 +100,12 @@ def read_layer(
     return {r["table"]: read_table(spark, schemas[r["table"]], r["paths"]) for r in records}
 
 
+def stored_schemas(spark: SparkSession, lake: str, layer: str, batch_id: str) -> dict[str, StructType]:
+    """Columns as the files of a layer hold them, whatever they should be."""
+    records = table_records(spark, lake, batch_id).where(F.col("layer") == layer).collect()
+    return {r["table"]: stored_schema(spark, r["paths"]) for r in records}
+
+
 def register_views(spark: SparkSession, lake: str) -> str:
     """Temporary views of the current batch (silver_* and the gold names); returns its id."""
     batch_id = current_batch(spark, lake)

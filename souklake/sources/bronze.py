@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from souklake.functions import documents
 from souklake.schemas import SCHEMAS, TABLES
@@ -20,6 +21,7 @@ from souklake.sources.tables import (
     read_table,
     stored_bytes,
     stored_files,
+    stored_schema,
 )
 
 LEDGER = "table string, row_start bigint, row_count bigint, bytes bigint, path string"
@@ -119,7 +121,18 @@ def require_tables(files: DataFrame) -> None:
 
 
 def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return read_table(spark, SCHEMAS[table], f"{root}/{table}")
+    """A table's finished segments; files of a lost write are in no ledger row and are not read."""
+    paths = bronze_paths(read_ledger(spark, root), table)
+    if not paths:
+        raise ValueError(f"{root} has no finished segment of {table}")
+    return read_table(spark, SCHEMAS[table], paths)
+
+
+def stored_schemas(spark: SparkSession, root: str) -> dict[str, StructType]:
+    """Columns of each table's finished segments as their files hold them."""
+    ledger = read_ledger(spark, root)
+    found = {table: bronze_paths(ledger, table) for table in TABLES}
+    return {table: stored_schema(spark, paths) for table, paths in found.items() if paths}
 
 
 def bronze_paths(ledger: DataFrame, table: str) -> list[str]:

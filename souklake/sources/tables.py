@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -43,6 +44,18 @@ def read_table(spark: SparkSession, schema: StructType, paths: str | Sequence[st
     )
 
 
+def stored_schema(spark: SparkSession, paths: str | Sequence[str]) -> StructType:
+    """Columns that the files below the paths hold: those of all footers, read by tasks."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    return (
+        spark.read.option("mergeSchema", "true")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .parquet(*paths)
+        .schema
+    )
+
+
 def stored_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
     """(path, length) of the files below a path; reads the listing, not the files."""
     return (
@@ -84,6 +97,23 @@ def append_record(records: DataFrame, path: str) -> None:
     records.coalesce(1).write.mode("append").json(path)
 
 
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file unless there is one of that name; tells whether it did."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        out = system.create(target, False)
+    except Py4JJavaError:
+        if system.exists(target):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
 def read_records(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 

@@ -80,6 +80,33 @@ def test_key_change_ends_the_old_key(spark):
     assert state(frame) == [(9, "a", 1.0)]
 
 
+def test_truncate_ends_the_rows_before_it(spark):
+    frame = feed(
+        spark,
+        ("0/1", change("I", {"id": 1, "name": "a", "price": 1})),
+        ("0/2", change("I", {"id": 2, "name": "b", "price": 1})),
+        ("0/9", change("T")),
+        ("0/9", change("T", table="other")),
+        ("0/A", change("I", {"id": 2, "name": "c", "price": 1})),
+    )
+    assert state(frame) == [(2, "c", 1.0)]
+
+
+def test_truncate_of_another_table(spark):
+    frame = feed(spark, ("0/1", change("I", {"id": 1, "name": "a", "price": 1})), ("0/9", change("T", table="other")))
+    assert state(frame) == [(1, "a", 1.0)]
+
+
+def test_left_out_column_and_digits(spark):
+    exact = StructType().add("id", LongType()).add("name", StringType()).add("price", "decimal(38,10)")
+    digits = "12345678901234567890.1234567891"
+    raw = change("I", {"id": 1, "name": "a", "price": "PRICE"}).replace('"PRICE"', digits)
+    update = change("U", {"id": 1, "name": "b"}, {"id": 1, "name": "a", "price": "PRICE"}).replace('"PRICE"', digits)
+    for rows in ([("0/1", raw)], [("0/1", raw), ("0/2", update)]):
+        row = changes.current_rows(feed(spark, *rows), exact, ("id",)).first()
+        assert str(row["price"]) == digits and row["name"] == ("b" if len(rows) == 2 else "a")
+
+
 def test_ordinal_orders_changes_of_one_lsn(spark):
     first, second = change("I", {"id": 1, "name": "old", "price": 1}), change("U", {"id": 1, "name": "new", "price": 1})
     assert state(feed(spark, ("0/1", second, 2), ("0/1", first, 1))) == [(1, "new", 1.0)]

@@ -22,6 +22,11 @@ def apply(spark, expression, *rows):
         ('{"q": "say \\"hi\\" 1.50"}', '{"q":"say \\"hi\\" 1.50"}'),
         ("{}", "{}"),
         ("[2, 1]", "[2,1]"),
+        ('{"o": {"p": 12.0, "q": [1.50, -0]}}', '{"o":{"p":12.0,"q":[1.5,0]}}'),
+        ('{"s": 1e-5, "t": 1E20, "u": 12345678.25, "v": 1e3, "w": 0.00012}', '{"s":1e-05,"t":1e+20,"u":12345678.25,"v":1000.0,"w":0.00012}'),
+        ('{"n": 123456789012345678901234567890}', '{"n":123456789012345678901234567890}'),
+        ('{"a": 01}', None),
+        ('{"a": 1.2.3}', None),
         ("not json", None),
         (None, None),
     ],
@@ -51,6 +56,20 @@ def test_canonical_and_merge_agree_with_python(spark, pairs):
     assert [list(json.loads(m)) for m in merged] == [list({**a, **b}) for a, b in pairs]
 
 
+def test_merge_keeps_digits_and_what_does_not_parse(spark):
+    merged = documents.merge(F.col("c0"), F.col("c1"))
+    rows = [
+        ('{"a": 1.50, "b": 1e3, "c": {"d": 0.12345678901234567890}, "t": "x 1.50"}', '{"e": 12.0}'),
+        ("{broken", '{"e": 1}'),
+        ("", '{"e": 1}'),
+    ]
+    assert apply(spark, merged, *rows) == [
+        '{"a":1.50,"b":1e3,"c":{"d":0.12345678901234567890},"t":"x 1.50","e":12.0}',
+        "{broken",
+        "",
+    ]
+
+
 def test_merge_with_null(spark):
     merged = documents.merge(F.col("c0"), F.col("c1"))
     assert apply(spark, merged, ('{"a":1}', None), (None, '{"a":1}')) == [None, None]

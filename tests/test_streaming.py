@@ -84,6 +84,28 @@ def test_stream_deduplication_across_batches(spark, feed, tmp_path):
     assert changes.deduplicate(read_landing(spark, zone)).count() == distinct
 
 
+def test_stream_deduplication_keeps_late_first_deliveries(spark, tmp_path):
+    """Four events of four hours, read one file a batch, the newest hour first; one is delivered twice."""
+    zone = f"{tmp_path}/zone"
+    for number, (lsn, hour) in enumerate([("0/4", "20"), ("0/1", "01"), ("0/3", "12"), ("0/2", "05"), ("0/4", "20")]):
+        one = spark.createDataFrame([(lsn, "1", '{"table":"buyers"}')], FEED)
+        moment = F.lit(f"2024-01-01 {hour}:00:00").cast("timestamp_ntz")
+        write_landing(changes.envelope(one, "db", moment), zone, f"b{number}")
+    for number, path in enumerate(sorted(glob.glob(f"{zone}/*/*/*/*/*.gz"), key=lambda p: p.split("batch=")[1])):
+        os.utime(path, (1_700_000_000 + number, 1_700_000_000 + number))
+    query = distinct_events(spark, zone, "1 hour", files_per_batch=1).select("event_id")
+    query.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.parquet(f"{tmp_path}/out")
+    assert rows.count() == 4 == rows.distinct().count()
+
+
+def test_changes_with_line_ends_and_json_strings_survive(spark, tmp_path):
+    texts = ['{"table":\n"buyers","n":1}', '"just text"', "[1,\r\n2]"]
+    odd = spark.createDataFrame([(f"0/{n}", "1", text) for n, text in enumerate(texts)], FEED)
+    write_landing(changes.envelope(odd, "db"), f"{tmp_path}/zone", "b")
+    assert {r["change"] for r in read_landing(spark, f"{tmp_path}/zone").collect()} == set(texts)
+
+
 def test_landing_layout_and_rules(spark, feed, tmp_path):
     zone = f"{tmp_path}/zone"
     moment = F.lit("2024-03-05 07:30:00").cast("timestamp_ntz")
