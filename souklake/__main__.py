@@ -9,18 +9,29 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from souklake.operators import silver, synth
-from souklake.plans import batch, history, validate
+from souklake.plans import batch, history, publish, validate
 from souklake.schemas import SCHEMAS, TABLES, Domain
 from souklake.session import session
-from souklake.sources.snapshot import exported_snapshot
+from souklake.sources.snapshot import exported_snapshot, jdbc_snapshot
 from souklake.sources.tables import path_exists, write_table
 from souklake.streaming.landing import POLL, drain, land, stop_when_idle
 
 CHANGE_ROWS = "lsn string, xid string, raw string, ordinal bigint"
 
 
-def _snapshot(spark: SparkSession, root: str) -> batch.SnapshotReader:
-    return lambda table: exported_snapshot(spark, root, table)
+#: Folders a phase of the checks reads.
+PHASE_FOLDERS = {"setup": ("snapshot",), "history": ("bronze",), "cdc": ("landing",), "batch": ("snapshot", "bronze", "lake")}
+
+
+def _snapshot(spark: SparkSession, args: argparse.Namespace) -> batch.SnapshotReader:
+    """An exported copy, or the tables of a database."""
+    if not args.jdbc_url:
+        return lambda table: exported_snapshot(spark, args.snapshot, table)
+    properties = {}
+    if args.jdbc_properties:
+        with open(args.jdbc_properties) as file:
+            properties = json.load(file)
+    return lambda table: jdbc_snapshot(spark, table, args.jdbc_url, properties, args.jdbc_parts)
 
 
 def _seed(spark: SparkSession, root: str) -> dict[str, int]:
@@ -60,19 +71,26 @@ def _land(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
 
 def _check(spark: SparkSession, args: argparse.Namespace) -> dict[str, int | str]:
     if args.phase == "setup":
-        snapshot = _snapshot(spark, args.snapshot)
+        snapshot = _snapshot(spark, args)
         rules = validate.setup_rules(spark, {table: snapshot(table) for table in TABLES})
     elif args.phase == "history":
         rules = validate.history_rules(spark, args.bronze)
     elif args.phase == "cdc":
         rules = validate.landing_rules(spark, args.landing)
     else:
-        snapshot = _snapshot(spark, args.snapshot)
+        snapshot = _snapshot(spark, args)
         counts = silver.table_counts({table: snapshot(table) for table in TABLES})
         rules = validate.batch_rules(spark, args.lake, args.bronze, counts)
     return {"phase": args.phase, "rules": validate.require_clean(rules)}
 
 
+def _snapshot_arguments(job: argparse.ArgumentParser) -> None:
+    job.add_argument("--snapshot", help="exported copy: <snapshot>/<table>/*.parquet")
+    job.add_argument("--jdbc-url", help="read the tables from a database instead")
+    job.add_argument("--jdbc-properties", help="JSON file of connection properties (user, password, driver)")
+    job.add_argument("--jdbc-parts", type=int, default=16, help="tasks that read one table")
+
+
 def parser() -> argparse.ArgumentParser:
     root = argparse.ArgumentParser(prog="souklake", description=__doc__)
     jobs = root.add_subparsers(dest="job", required=True)
@@ -92,17 +110,30 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--files-per-batch", type=int, default=1000)
     job = jobs.add_parser("batch", help="build and publish silver and gold")
     job.add_argument("--bronze", required=True)
-    job.add_argument("--snapshot", required=True)
     job.add_argument("--lake", required=True)
+    job.add_argument("--purge", action="store_true", help="remove replaced batches once the new one is published")
+    _snapshot_arguments(job)
     job = jobs.add_parser("check", help="validate a lifecycle phase")
     job.add_argument("--phase", choices=("setup", "history", "cdc", "batch"), default="setup")
-    for name in ("snapshot", "bronze", "landing", "lake"):
+    for name in ("bronze", "landing", "lake"):
         job.add_argument(f"--{name}")
+    _snapshot_arguments(job)
     return root
 
 
+def parse(argv: list[str] | None) -> argparse.Namespace:
+    """Arguments; a folder that the job reads and that is not given ends the program."""
+    known = parser()
+    args = known.parse_args(argv)
+    needed = PHASE_FOLDERS[args.phase] if args.job == "check" else ("snapshot",) if args.job == "batch" else ()
+    absent = [f"--{name}" for name in needed if not getattr(args, name) and not (name == "snapshot" and args.jdbc_url)]
+    if absent:
+        known.error(f"{args.job} needs {', '.join(absent)}")
+    return args
+
+
 def main(argv: list[str] | None = None) -> dict:
-    args = parser().parse_args(argv)
+    args = parse(argv)
     spark = session()
     if args.job == "history":
         row = history.build_history(spark, args.bronze, args.budget).first()
@@ -112,7 +143,9 @@ def main(argv: list[str] | None = None) -> dict:
     elif args.job == "land":
         result = _land(spark, args)
     elif args.job == "batch":
-        result = batch.run_batch(spark, args.bronze, _snapshot(spark, args.snapshot), args.lake)
+        result = batch.run_batch(spark, args.bronze, _snapshot(spark, args), args.lake)
+        if args.purge:
+            result["purged"] = publish.discard_replaced(spark, args.lake)
     else:
         result = _check(spark, args)
     print(json.dumps(result, indent=2, sort_keys=True))

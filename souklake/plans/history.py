@@ -1,20 +1,19 @@
-"""History job: plan sizes, synthesise each table up to its share of the budget, write the manifest."""
+"""History job: measure widths, plan the rows of every table once, write them, write the manifest."""
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from souklake.operators.synth import history_rows, row_numbers
 from souklake.schemas import TABLES, Domain
 from souklake.session import run_folder
 from souklake.sources import bronze
-from souklake.sources.tables import FILE_TARGET_BYTES, stored_bytes, write_table
+from souklake.sources.tables import FILE_TARGET_BYTES, delete_path, path_exists, stored_bytes, write_table
 
-# Share of the byte budget per table, first probe, least step, accepted overshoot.
+# Share of the byte budget per table, budget, probe, accepted overshoot.
 TABLE_WEIGHTS = {
     "markets": 0.005,
     "vendors": 0.02,
@@ -29,10 +28,12 @@ TABLE_WEIGHTS = {
 }
 DEFAULT_BUDGET = 5 * 1024**3
 PROBE_ROWS = 100_000
-LEAST_ROWS = 1_000
 OVERSHOOT = 1.05
 LAST = TABLES[-1]
 
+# Sizes are aimed at the middle of the accepted range, so that an estimate may err to both sides.
+AIM = (1 + OVERSHOOT) / 2
+
 # A segment is one Spark write and the unit of resumption, so it is bounded.
 SEGMENT_FILES = 10_000
 
@@ -70,59 +71,39 @@ def plan_sizes(widths: DataFrame, budget: int, domain: Domain = Domain()) -> Dat
     return one.select(F.explode(F.array(*lines)).alias("_p")).select("_p.*")
 
 
-@dataclass
-class Progress:
-    bytes: int = 0
-    rows: int = 0
-    next_row: int = 1
-
-
-def _probe(spark: SparkSession, table: str, start: int, rows: int, domain: Domain) -> float:
-    """Bytes per row of a small write that is not kept."""
-    path = f"{run_folder(spark, 'probe')}/{table}"
-    write_table(history_rows(row_numbers(spark, start, rows, 1), table, domain), path)
-    return stored_bytes(spark, path) / rows
-
-
-def write_segment(
-    spark: SparkSession, root: str, table: str, start: int, rows: int, parts: int, domain: Domain
-) -> int:
-    """Rows start … start+rows-1 in `parts` files by `parts` tasks; returns the bytes written."""
-    path = bronze.segment_path(root, table, start)
-    write_table(history_rows(row_numbers(spark, start, rows, parts), table, domain), path)
-    return bronze.record_segment(spark, root, table, start, rows)
-
-
-def grow_table(
-    spark: SparkSession,
-    root: str,
-    table: str,
-    target_bytes: int,
-    target_rows: int | None,
-    done: Progress,
-    domain: Domain,
-    file_bytes: int = FILE_TARGET_BYTES,
-    probe_rows: int = PROBE_ROWS,
-) -> Progress:
-    """Append segments until the table has its rows (when fixed) or else its bytes.
-
-    The last segment is nearly always right; a further one only makes up for the estimate.
-    """
-    per_row = done.bytes / done.rows if done.rows else None
-    while done.rows < target_rows if target_rows is not None else done.bytes < target_bytes:
-        if per_row is None:
-            sample = probe_rows if target_rows is None else min(probe_rows, target_rows)
-            per_row = _probe(spark, table, done.next_row, sample, domain)
-        if target_rows is not None:
-            rows = target_rows - done.rows
-        else:
-            rows = max(LEAST_ROWS, math.ceil((target_bytes - done.bytes) / per_row))
-        rows = min(rows, max(LEAST_ROWS, int(SEGMENT_FILES * file_bytes / per_row)))
-        parts = max(1, math.ceil(rows * per_row / file_bytes))
-        size = write_segment(spark, root, table, done.next_row, rows, parts, domain)
-        done = Progress(done.bytes + size, done.rows + rows, done.next_row + rows)
-        per_row = size / rows
-    return done
+def measured_widths(spark: SparkSession, root: str, domain: Domain, probe_rows: int = PROBE_ROWS) -> DataFrame:
+    """Bytes per row of each table: what the ledger has, else a small write that is not kept."""
+    stored = bronze.progress(bronze.read_ledger(spark, root))
+    known = stored.select("table", (F.col("bytes") / F.col("rows")).alias("bytes_per_row"))
+    begun = {row["table"] for row in known.select("table").collect()}  # at most ten rows
+    folder, fixed, probed = run_folder(spark, "probe"), domain.dimension_rows(), []
+    for table in (t for t in TABLES if t not in begun):
+        rows = min(probe_rows, fixed.get(table, probe_rows))
+        write_table(history_rows(row_numbers(spark, 1, rows, 1), table, domain), f"{folder}/{table}")
+        probed.append((table, stored_bytes(spark, f"{folder}/{table}") / rows))
+    delete_path(spark, folder)
+    return known.unionByName(spark.createDataFrame(probed, known.schema))
+
+
+def write_rows(
+    spark: SparkSession, root: str, table: str, first: int, last: int, per_row: float, domain: Domain, file_bytes: int = FILE_TARGET_BYTES
+) -> None:
+    """Rows first … last as recorded segments of at most `SEGMENT_FILES` files of about `file_bytes`."""
+    per_file = max(1, int(file_bytes / per_row))
+    step = per_file * SEGMENT_FILES
+    for start in range(first, last + 1, step):
+        rows = min(step, last + 1 - start)
+        numbers = row_numbers(spark, start, rows, math.ceil(rows / per_file))
+        write_table(history_rows(numbers, table, domain), bronze.segment_path(root, table, start))
+        bronze.record_segment(spark, root, table, start, rows)
+
+
+def written(spark: SparkSession, root: str) -> dict[str, Row]:
+    """Bytes, rows and next row of the tables begun: at most ten rows."""
+    found = {row["table"]: row for row in bronze.progress(bronze.read_ledger(spark, root)).collect()}
+    if set(found) - set(TABLES):
+        raise ValueError(f"the ledger names tables that there are not: {sorted(set(found) - set(TABLES))}")
+    return found
 
 
 def build_history(
@@ -133,23 +114,36 @@ def build_history(
     file_bytes: int = FILE_TARGET_BYTES,
     probe_rows: int = PROBE_ROWS,
 ) -> DataFrame:
-    """Synthesise all tables below `root`, going on from what the ledger has; returns the manifest."""
-    found = bronze.progress(bronze.read_ledger(spark, root)).collect()  # at most ten rows
-    done = {r["table"]: Progress(r["bytes"], r["rows"], r["next_row"]) for r in found}
-    unknown = set(done) - set(TABLES)
-    if unknown:
-        raise ValueError(f"unexpected bronze tables: {sorted(unknown)}")
-    fixed = domain.dimension_rows()
-    for table, weight in TABLE_WEIGHTS.items():
-        target = int(budget * weight)
-        if table == LAST:
-            target = budget - sum(p.bytes for t, p in done.items() if t != LAST)
-        rows = fixed.get(table)
-        if table == "transaction_products":
-            rows = 2 * done["transactions"].rows
-        done[table] = grow_table(
-            spark, root, table, target, rows, done.get(table, Progress()), domain, file_bytes, probe_rows
-        )
+    """Synthesise all tables below `root`, going on from what the ledger has; returns the manifest.
+
+    A history that has its manifest for this budget is complete. The last table takes what the
+    others left, so it is written when their bytes are known.
+    """
+    if path_exists(spark, f"{root}/_manifest"):
+        manifest = bronze.read_manifest(spark, root)
+        if manifest.where(F.col("requested_bytes") == budget).count():
+            return manifest
+    done = written(spark, root)
+    widths = measured_widths(spark, root, domain, probe_rows)
+    width = {row["table"]: row["bytes_per_row"] for row in widths.collect()}  # ten rows
+    plan = plan_sizes(widths, int(budget * AIM), domain)
+    rows = {row["table"]: row["target_rows"] for row in plan.collect()}  # ten rows
+    rows |= {table: max(rows[table], row["rows"]) for table, row in done.items()}
+    rows["transaction_products"] = 2 * rows["transactions"]
+    for table in TABLES[:-1]:
+        first = done[table]["next_row"] if table in done else 1
+        write_rows(spark, root, table, first, rows[table], width[table], domain, file_bytes)
+    # Long ranges compress better than the probe, so the last table is planned anew from its own
+    # stored width until the budget is filled.
+    while True:
+        done = written(spark, root)
+        stored, last = sum(row["bytes"] for row in done.values()), done.get(LAST)
+        if stored >= budget:
+            break
+        per_row = last["bytes"] / last["rows"] if last else width[LAST]
+        start = last["next_row"] if last else 1
+        more = math.ceil((budget * AIM - stored) / per_row)
+        write_rows(spark, root, LAST, start, start + more - 1, per_row, domain, file_bytes)
     totals = bronze.progress(bronze.read_ledger(spark, root))
     stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     bronze.write_manifest(bronze.build_manifest(totals, budget, stamp), root)

@@ -104,6 +104,7 @@ _DDL = {
 SCHEMAS: dict[str, StructType] = {name: _schema(columns) for name, columns in _DDL.items()}
 TABLES = tuple(SCHEMAS)
 
+# Kinds of tables, JSON columns, keys and references.
 DIMENSIONS = ("markets", "vendors", "buyers", "products")
 FACTS = tuple(name for name in TABLES if name not in DIMENSIONS)
 
@@ -151,6 +152,7 @@ FACT_IDS = {
     "RiskModelPredictions": ("RMP_id", "RMP"),
 }
 
+# Columns of the gold models.
 GOLD_SCHEMAS: dict[str, StructType] = {
     name: _schema(columns)
     for name, columns in {

@@ -2,36 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from souklake.schemas import PRIMARY_KEYS, SCHEMAS
 from souklake.sources.tables import read_table
 
 
-def quoted(identifier: str) -> str:
-    return '"' + identifier.replace('"', '""') + '"'
-
+def quoting(spark: SparkSession, url: str) -> Callable[[str], str]:
+    """How the database of a URL quotes a name, by its Spark dialect; nothing is connected."""
+    return spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier
 
-def jdbc_query(table: str) -> str:
-    """Explicit, ordered, quoted projection: names are mixed case."""
-    columns = ", ".join(quoted(name) for name in SCHEMAS[table].names)
-    return f"(SELECT {columns} FROM {quoted(table)}) AS snapshot"
 
-
-def jdbc_buckets(table: str, parts: int) -> list[str]:
+def jdbc_buckets(table: str, parts: int, quote: Callable[[str], str]) -> list[str]:
     """One predicate per partition. Keys are text, so ranges would be uneven; a hash is not."""
-    key = quoted(PRIMARY_KEYS[table][0])
+    key = quote(PRIMARY_KEYS[table][0])
     return [f"(hashtext({key}) & 2147483647) % {parts} = {part}" for part in range(parts)]
 
 
 def jdbc_snapshot(
     spark: SparkSession, table: str, url: str, properties: dict[str, str], parts: int
 ) -> DataFrame:
-    """A table over JDBC, read by `parts` tasks side by side instead of through one cursor."""
+    """A table over JDBC, read by `parts` tasks side by side; its columns in schema order.
+
+    The projection is pushed into the query, with names (mixed case) quoted by the dialect.
+    """
+    quote = quoting(spark, url)
     options = {"fetchsize": "10000", "preferTimestampNTZ": "true", **properties}
-    return spark.read.jdbc(
-        url, jdbc_query(table), predicates=jdbc_buckets(table, parts), properties=options
-    )
+    stored = spark.read.jdbc(url, quote(table), predicates=jdbc_buckets(table, parts, quote), properties=options)
+    return stored.select(*SCHEMAS[table].names)
 
 
 def exported_snapshot(spark: SparkSession, root: str, table: str) -> DataFrame:

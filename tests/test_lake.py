@@ -12,7 +12,7 @@ from souklake.operators import checks, synth
 from souklake.plans import batch, history, publish, validate
 from souklake.schemas import DIMENSIONS, FACTS, SCHEMAS, TABLES, Domain
 from souklake.sources import bronze
-from souklake.sources.snapshot import jdbc_buckets, jdbc_query
+from souklake.sources.snapshot import jdbc_buckets, quoting
 from souklake.sources.tables import read_table, write_table
 
 DOMAIN = Domain(markets=10, vendors=40, buyers=150, reference_rows=400)
@@ -66,7 +66,7 @@ def test_an_unrecorded_segment_is_written_again(spark, tmp_path):
     path = str(tmp_path)
     synth_rows = synth.history_rows(synth.row_numbers(spark, 1, 50), "buyers", DOMAIN)
     write_table(synth_rows, bronze.segment_path(path, "buyers", 1))  # lost before the ledger entry
-    history.grow_table(spark, path, "buyers", 0, 150, history.Progress(), DOMAIN)
+    history.write_rows(spark, path, "buyers", 1, 150, 60.0, DOMAIN)
     assert bronze.read_bronze(spark, path, "buyers").count() == 150
 
 
@@ -129,10 +129,10 @@ def test_second_batch_replaces_the_first(spark, root, snapshot, tmp_path):
 
 
 def test_parsed_history_json_is_rewritten(spark, tmp_path):
-    path = f"{tmp_path}/risk_analytics"
     rows = synth.history_rows(synth.row_numbers(spark, 1, 20), "risk_analytics", DOMAIN)
     parsed = rows.withColumn("wallet_risk_assessment", F.from_json("wallet_risk_assessment", "wallet_hash string, age_days bigint"))
-    parsed.write.parquet(f"{path}/from-1")
+    parsed.write.parquet(bronze.segment_path(str(tmp_path), "risk_analytics", 1))
+    bronze.record_segment(spark, str(tmp_path), "risk_analytics", 1, 20)
     paths = batch.history_paths(spark, str(tmp_path), "risk_analytics", f"{tmp_path}/stage", bronze.read_ledger(spark, str(tmp_path)))
     assert paths == [f"{tmp_path}/stage/history"]
     stored = read_table(spark, SCHEMAS["risk_analytics"], paths)
@@ -154,10 +154,17 @@ def test_manifest_rules_find_foreign_bytes(spark, tmp_path):
     assert "manifest bytes" in broken(validate.manifest_rules(spark, path))
 
 
-def test_snapshot_query_is_quoted_and_partitioned():
-    query = jdbc_query("BuyerSessionAnalytics")
-    assert query.startswith('(SELECT "BSA_id", "acq_ref"') and '"BuyerSessionAnalytics"' in query
-    assert jdbc_buckets("vendors", 2) == [
+def test_complete_history_stays_as_it_is(spark, root):
+    before = sorted(bronze.read_ledger(spark, root).collect())
+    history.build_history(spark, root, BUDGET, DOMAIN, probe_rows=2_000)
+    assert sorted(bronze.read_ledger(spark, root).collect()) == before
+    assert broken(validate.manifest_rules(spark, root)) == {}
+
+
+def test_snapshot_query_is_quoted_and_partitioned(spark):
+    quote = quoting(spark, "jdbc:postgresql://host/db")
+    assert quote("BuyerSessionAnalytics") == '"BuyerSessionAnalytics"'
+    assert jdbc_buckets("vendors", 2, quote) == [
         '(hashtext("SellerKey") & 2147483647) % 2 = 0',
         '(hashtext("SellerKey") & 2147483647) % 2 = 1',
     ]
@@ -165,14 +172,17 @@ def test_snapshot_query_is_quoted_and_partitioned():
 
 def test_segments_are_bounded(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(history, "SEGMENT_FILES", 2)
-    done = history.grow_table(spark, str(tmp_path), "buyers", 0, 5_000, history.Progress(), DOMAIN, file_bytes=30_000, probe_rows=1_000)
+    history.write_rows(spark, str(tmp_path), "buyers", 1, 5_000, 50.0, DOMAIN, file_bytes=30_000)
     ledger = bronze.read_ledger(spark, str(tmp_path))
-    assert done.rows == 5_000 and ledger.count() > 1
+    assert bronze.progress(ledger).first()["rows"] == 5_000 and ledger.count() > 1
     assert bronze.read_bronze(spark, str(tmp_path), "buyers").select("AcqCode").distinct().count() == 5_000
 
 
 def test_files_follow_the_target_size(spark, tmp_path):
-    done = history.grow_table(spark, str(tmp_path), "transactions", 600_000, None, history.Progress(), DOMAIN, file_bytes=100_000, probe_rows=2_000)
+    widths = history.measured_widths(spark, str(tmp_path), DOMAIN, 2_000)
+    width = widths.where("table = 'transactions'").first()["bytes_per_row"]
+    history.write_rows(spark, str(tmp_path), "transactions", 1, int(700_000 / width), width, DOMAIN, file_bytes=100_000)
+    done = bronze.progress(bronze.read_ledger(spark, str(tmp_path))).first()
     files = glob.glob(f"{tmp_path}/transactions/*/*.parquet")
-    assert done.bytes >= 600_000 and len(files) >= 6
+    assert done["bytes"] >= 600_000 and len(files) >= 6
     assert max(os.path.getsize(f) for f in files) < 130_000
