@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from souklake.schemas import SCHEMAS
+
 
 class Cycle(NamedTuple):
     """offset + number % modulus"""
@@ -341,8 +343,17 @@ def border(origin: str, target: str) -> dict[str, str]:
     }
 
 
+TABLES = {
+    "markets": "markets", "vendors": "vendors", "buyers": "buyers", "products": "products", "transactions": "transactions",
+    "items": "transaction_products", "sessions": "BuyerSessionAnalytics", "payments": "PaymentProcessingEvents",
+    "risk": "risk_analytics", "predictions": "RiskModelPredictions",
+}
+
+
 def view(name: str, source: str, written: dict[str, str], number: str = "i") -> str:
-    columns = written | {column: rule.sql(number) for column, rule in VALUES[name].items()}
+    """Columns in the order of the table, so that views of one table can be united."""
+    formed = written | {column: rule.sql(number) for column, rule in VALUES[name].items()}
+    columns = {column: formed[column] for column in SCHEMAS[TABLES[name[2:]]].names}
     return "SELECT " + ",\n       ".join(f'{sql} AS "{column}"' for column, sql in columns.items()) + f"\nFROM ({source})"
 
 
