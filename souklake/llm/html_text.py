@@ -5,10 +5,11 @@ without numbers). Pieces of one path are added up: text length, punctuation, lin
 pieces. A path's score fuses its text per piece with its punctuation per piece; scores are smoothed
 over neighbouring paths in page order, weighted by length, and paths from the threshold on are
 content. The threshold is a share of the length-weighted standard deviation of the page's scores, so
-that it follows the page. Text within an element whose tag, role, class or id names boilerplate
-(navigation, header, footer, aside, form, advert, notice, comment, ...) is never content; text in an
-`article` or `main` element is, if its page has one, whatever its score: a short paragraph there has
-the path of its longer neighbours anyway.
+that it follows the page, but never below a share of their mean. A path within an `article` or `main`
+element has a prior added to its score; it still has to reach the threshold, on every page.
+Inline text in a content path and headings beside one are content too. Text within an element whose
+tag, role, class or id names boilerplate (navigation, header, footer, aside, form, advert, notice,
+comment, ...) is never content.
 
 Blocks are cut at block-level tags and `br`; character references are decoded; white space inside a
 block becomes one space; empty blocks go. Null or empty pages have an empty text. Unclosed tags are
@@ -27,6 +28,13 @@ from pyspark.sql import DataFrame
 
 #: Share of the standard deviation of path scores from which a path is content.
 THRESHOLD = 0.5
+#: Share of the mean score below which no path is content, also on a page of even scores; above what
+#: two strong neighbours alone give.
+LEAST_SHARE = 0.35
+#: Weight of a neighbouring path's score.
+NEIGHBOUR = 0.25
+#: Added to the score of a path within an article or main element, as a share of the mean score.
+CONTENT_PRIOR = 0.3
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
 _RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg")}
@@ -58,6 +66,7 @@ _HIDDEN_WORDS = frozenset(
     "comment comments disqus reply replies share sharing social newsletter subscribe signup login form search pagination pager "
     "toolbar copyright legal complementary contentinfo".split()
 )
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _CONTENT_TAGS = frozenset(("article", "main"))
 _KEEP_IN_CONTENT = frozenset(("header", "banner"))
 
@@ -146,47 +155,66 @@ def content_paths(found: list[Piece], threshold: float = THRESHOLD) -> set[str]:
     totals: dict[str, list[float]] = {}
     for piece in found:
         if not piece.hidden and (size := len(piece.text.strip())):
-            total = totals.setdefault(piece.path, [0.0, 0.0, 0.0, 0.0])
+            total = totals.setdefault(piece.path, [0.0, 0.0, 0.0, 0.0, float(piece.content)])
             total[0] += size
             total[1] += len(_PUNCTUATION.findall(piece.text))
             total[2] += size if piece.link else 0
             total[3] += 1
     if not totals:
         return set()
-    sizes, marks, linked, counts = np.array(list(totals.values())).T
+    sizes, marks, linked, counts, content = np.array(list(totals.values())).T
     score = np.sqrt(np.maximum(0.0, sizes - linked) / counts * (1 + marks) / counts)
-    weighted = score * sizes
-    near, weight = weighted.copy(), sizes.copy()
-    near[1:] += 0.25 * weighted[:-1]
-    weight[1:] += 0.25 * sizes[:-1]
-    near[:-1] += 0.25 * weighted[1:]
-    weight[:-1] += 0.25 * sizes[1:]
+    # The prior follows how much of the page's own text is in article or main, so that a teaser gets little of it.
+    own = np.maximum(0.0, sizes - linked)
+    share = (own * content).sum() / max(1.0, own.sum())
+    score += CONTENT_PRIOR * share * content * (score * sizes).sum() / sizes.sum()
+    # A neighbour counts with no more text than the path itself has.
+    least = np.minimum(sizes[1:], sizes[:-1])
+    near, weight = score * sizes, sizes.copy()
+    near[1:] += NEIGHBOUR * score[:-1] * least
+    near[:-1] += NEIGHBOUR * score[1:] * least
+    weight[1:] += NEIGHBOUR * least
+    weight[:-1] += NEIGHBOUR * least
     smooth = near / weight
     mean = (smooth * sizes).sum() / sizes.sum()
     spread = np.sqrt((sizes * (smooth - mean) ** 2).sum() / sizes.sum())
-    least = min(threshold * spread, mean)
-    return {path for path, value, link, size in zip(totals, smooth, linked, sizes) if value >= least and link < 0.5 * size}
+    bound = min(max(threshold * spread, LEAST_SHARE * mean), mean)
+    return {path for path, value, link, size in zip(totals, smooth, linked, sizes) if value >= bound and link < 0.5 * size}
 
 
 def extract(page: str) -> str:
     """Main text: content blocks in page order, joined by line feeds."""
     found = pieces(page)
     chosen = content_paths(found)
-    marked = any(piece.content and not piece.hidden and piece.text.strip() for piece in found)
+    holders: set[str] = set()
+    for path in chosen:
+        while (path := path.rpartition("/")[0]) and path not in holders:
+            holders.add(path)
+    taken = dict.fromkeys(chosen, True)
     blocks: dict[int, list[str]] = {}
     for piece in found:
-        if not piece.hidden and (piece.content if marked else piece.path in chosen or _beside(piece.path, chosen)):
+        if not piece.hidden and _taken(piece.path, taken, holders):
             blocks.setdefault(piece.block, []).append(piece.text)
     texts = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n".join(text for text in texts if text)
 
 
-def _beside(path: str, chosen: set[str]) -> bool:
-    """Inline text or a heading whose parent block is content or holds it."""
-    parent, _, tag = path.rpartition("/")
-    if tag.split(".")[0].split("#")[0] in BLOCKS - {"h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "td"}:
-        return False
-    return parent in chosen or any(other.startswith(parent + "/") for other in chosen)
+def _taken(path: str, taken: dict[str, bool], holders: set[str]) -> bool:
+    """A chosen path, inline text in one, or a heading of an element that holds one; `taken` keeps what is known."""
+    passed = []
+    while path not in taken:
+        passed.append(path)
+        parent, _, label = path.rpartition("/")
+        tag = label.split(".")[0].split("#")[0]
+        if tag in _HEADINGS:
+            taken[path] = parent in holders or taken.get(parent, False)
+        elif not parent or tag in BLOCKS:
+            taken[path] = False
+        else:
+            path = parent
+    for other in passed:
+        taken[other] = taken[path]
+    return taken[path]
 
 
 def extracted(pages: DataFrame, id_column: str = "page_id", html_column: str = "html", keep: tuple[str, ...] = ("url",)) -> DataFrame:

@@ -157,6 +157,17 @@ def test_html():
     assert html_text.extract("<div " * 300 + ">" + "<p>x" * 3000).count("x") == 3000
 
 
+def test_html_scores_decide_beside_articles():
+    long = "Some sentence here, with commas and stops. It goes on; and on."
+    links = "".join(f"<li><a href={i}>Link {i}</a></li>" for i in range(12))
+    teaser = f"<body><article><a href=x>Read next</a></article><div class=text><p>{long}</p><p>{long}</p></div></body>"
+    assert html_text.extract(teaser) == f"{long}\n{long}"
+    short = f"<body><div class=text><p>{long * 4}</p><p>{long * 4}</p></div><article><p>Next week</p></article></body>"
+    assert html_text.extract(short) == f"{long * 4}\n{long * 4}"
+    inside = f"<body><article><h1>Title</h1><p>{long * 4}</p><ul>{links}</ul><p>{long * 4}</p><div>Print now</div></article></body>"
+    assert html_text.extract(inside) == f"Title\n{long * 4}\n{long * 4}"
+
+
 def test_html_rows(spark):
     rows = [(1, None, None, "t"), (2, "u", "", "t"), (3, "u", "<article><p>Hi&nbsp; there</article>", "t"), (3, "u", "<article><p>Hi&nbsp; there</article>", "t")]
     found = html_text.extracted(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
