@@ -6,7 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, minhash, oracle, quality_model, quality_rules, secrets, shards, substrings, suffixes
+from . import (
+    bpe,
+    decontaminate,
+    html_text,
+    minhash,
+    oracle,
+    pivot_search,
+    prefix_trie,
+    quality_model,
+    quality_rules,
+    secrets,
+    shards,
+    substrings,
+    suffixes,
+    whitening,
+)
+from .vectors import whole_vectors
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
@@ -92,6 +108,38 @@ def op10_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "source", "slot", "shard", F.octet_length("text").cast("long").alias("n_bytes"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(*prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = whole_vectors(table(spark, sf_dir, "embeddings"), 64)
+    return pivot_search.search(vectors, asks=F.col("vec_id") % 20 == 0, k=20)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = whole_vectors(table(spark, sf_dir, "embeddings"), 256)
+    fitted = whitening.fit(vectors, top=4)
+    if fitted is None:
+        return spark.createDataFrame([], "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double")
+    found, error = fitted
+    sums = F.array(*[F.lit(int(s)) for s in found.sums])
+    squares = F.zip_with("x", sums, lambda x, s: (F.lit(found.n) * x - s) * (F.lit(found.n) * x - s))
+    shares = F.array(*[F.lit(float(e / found.trace)) for e in found.values])
+    rows = whitening.whitened(vectors, found).select(
+        "vec_id", F.aggregate(squares, F.lit(0).cast("bigint"), lambda a, b: a + b).alias("deviation"), F.posexplode("whitened").alias("at", "whitened")
+    )
+    return rows.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(found.n).cast("bigint").alias("n"),
+        "deviation",
+        "whitened",
+        F.element_at(shares, F.col("at") + 1).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -103,8 +151,13 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_quality_model": op9_quality_model,
     "op10_shard_documents": op10_shard_documents,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_top_k": op12_top_k,
+    "op13_whitening": op13_whitening,
 }
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": oracle.SUBSTRING_DEDUP,
     "op10_shard_documents": oracle.shard_documents(SHARDS),
+    "op11_prefix_trie": oracle.PREFIX_TRIE,
+    "op12_top_k": oracle.TOP_K,
 }
