@@ -221,7 +221,7 @@ def _search(space: _Space, pair: dict, keep: int) -> tuple[np.ndarray, np.ndarra
     mine, theirs = space.table(q, queries=True), space.table(x)
     ids, cuts = np.array(pair["ids"], np.int64), np.array(pair["cuts"])
     widths, norms = np.diff(cuts), (q * q).sum(1)
-    to_beat = dict(pair["to_beat"] or [])
+    to_beat = {entry["at"]: entry["score"] for entry in pair["to_beat"] or []}
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for at in range(len(q)):
         bar = to_beat.get(at, -np.inf)

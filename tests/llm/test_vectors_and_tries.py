@@ -129,6 +129,15 @@ def test_search_eliminates(spark, monkeypatch):
     assert (chance >= np.sort(scores, axis=1)[:, -21][:, None]).mean() < 0.3
 
 
+def test_search_in_a_pair_of_blocks_returns_what_reaches_the_score_to_beat():
+    x = np.arange(40).reshape(20, 2)
+    space = pivot_search._Space(float((x * x).sum(1).max()), x[:4].astype(float))
+    pair = {"vectors": pivot_search._packed(x[:2]), "n": 2, "theirs": pivot_search._packed(x), "m": 20}
+    pair |= {"ids": list(range(20)), "cuts": list(range(21)), "to_beat": [{"at": 1, "score": 190}]}
+    at, score, ids = pivot_search._search(space, pair, 3)
+    assert list(zip(at.tolist(), score.tolist(), ids.tolist())) == [(0, 39, 19), (0, 37, 18), (0, 35, 17), (1, 191, 19)]
+
+
 def test_rank_one_updates_keep_an_orthogonal_basis():
     draw = np.random.default_rng(4)
     x = np.floor(draw.normal(size=(400, 12)) * draw.uniform(0.1, 50, 12)).astype(np.int64)
