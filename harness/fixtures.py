@@ -352,6 +352,50 @@ def change_feed(events: DataFrame) -> DataFrame:
     ).drop("delivery")
 
 
+def eventful_feed(events: DataFrame) -> DataFrame:
+    """Change rows with truncates, deletes, key changes and left-out columns, one delivery each."""
+    key, kind, user = F.col("event_id"), F.col("event_type"), F.col("user_id")
+    amount = F.col("value").cast("decimal(18,2)")
+    table = (
+        F.when(kind == "purchase", "transactions")
+        .when(kind == "view", "BuyerSessionAnalytics")
+        .when(kind == "click", "PaymentProcessingEvents")
+        .when(kind == "signup", "buyers")
+        .otherwise("vendors")
+    )
+    action = F.when(key % 1000 == 500, "T").when(key % 17 == 0, "D").when(key % 10 == 0, "U").otherwise("I")
+    moves, leaves_out = (action == "U") & (key % 20 == 0), (action == "U") & (key % 20 == 10)
+
+    def image(name: str, *columns: Column) -> Column:
+        return F.struct(F.array(*columns).alias(name))
+
+    def column(name: str, kind_name: str, value: Column) -> Column:
+        return F.struct(F.lit(name).alias("name"), F.lit(kind_name).alias("type"), value.cast("decimal(18,2)").alias("value"))
+
+    whole = column("amount", "numeric", amount)
+    new = F.when(leaves_out, F.array(column("id", "bigint", user))).otherwise(
+        F.array(column("id", "bigint", F.when(moves, user + 100_000).otherwise(user)), whole)
+    )
+    old = F.when(
+        leaves_out, F.array(column("id", "bigint", user), column("amount", "numeric", amount + 1))
+    ).when(moves | (action == "D"), F.array(column("id", "bigint", user), whole))
+    raw = F.to_json(
+        F.struct(
+            action.alias("action"),
+            F.lit("public").alias("schema"),
+            table.alias("table"),
+            F.when(action.isin("I", "U"), new).alias("columns"),
+            old.alias("identity"),
+        )
+    )
+    return events.select(
+        F.concat(F.lit("0/"), F.hex(key + 256)).alias("lsn"),
+        F.call_function("div", key, F.lit(5)).cast("string").alias("xid"),
+        raw.alias("raw"),
+        F.date_trunc("MONTH", F.col("ts")).cast("timestamp_ntz").alias("ingested_at"),  # captured once a month
+    )
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

@@ -295,6 +295,28 @@ SELECT "table", user_id AS id, amount
 FROM (SELECT *, row_number() OVER (PARTITION BY "table", user_id ORDER BY position DESC) AS n FROM c_events)
 WHERE n = 1 AND act <> 'D' """
 
+# A feed with truncates, deletes, key changes (two images) and left-out columns (read from the old image).
+VIEWS["c_eventful"] = """
+    SELECT *, '0/' || hex(event_id + 256) AS lsn, value::decimal(18, 2) AS amount,
+           CASE event_type WHEN 'purchase' THEN 'transactions' WHEN 'view' THEN 'BuyerSessionAnalytics'
+                WHEN 'click' THEN 'PaymentProcessingEvents' WHEN 'signup' THEN 'buyers' ELSE 'vendors' END AS tab,
+           CASE WHEN event_id % 1000 = 500 THEN 'T' WHEN event_id % 17 = 0 THEN 'D' WHEN event_id % 10 = 0 THEN 'U' ELSE 'I' END AS act
+    FROM events"""
+VIEWS["c_images"] = """
+    SELECT tab, event_id, user_id AS id, amount, act = 'I' AS alive FROM c_eventful WHERE act IN ('I', 'D') OR act = 'U' AND event_id % 20 = 0
+    UNION ALL SELECT tab, event_id, user_id + 100000, amount, true FROM c_eventful WHERE act = 'U' AND event_id % 20 = 0
+    UNION ALL SELECT tab, event_id, user_id, (amount + 1)::decimal(18, 2), true FROM c_eventful WHERE act = 'U' AND event_id % 20 = 10"""
+ORACLE["cdc_replay_state"] = """
+SELECT tab AS "table", id, amount FROM (
+    SELECT *, row_number() OVER (PARTITION BY tab, id ORDER BY event_id DESC) AS n FROM c_images)
+LEFT JOIN (SELECT tab, max(event_id) AS cut FROM c_eventful WHERE act = 'T' GROUP BY tab) USING (tab)
+WHERE n = 1 AND alive AND event_id > coalesce(cut, -1)"""
+ORACLE["cdc_exact_dedup"] = """
+SELECT tab AS "table", lsn, (event_id // 5)::varchar AS xid, date_trunc('month', ts)::timestamp AS ingested_at FROM c_eventful"""
+for _stored, _once in (("stored_payment_settle", "payment_settle"), ("stored_vendor_counters", "vendor_counter_update"),
+                       ("stored_transaction_status", "transaction_status_patch")):
+    ORACLE[_stored] = ORACLE[_once]
+
 # silver -------------------------------------------------------------------------------------
 
 for _name, _history in (("transactions", "h"), ("items", "h"), ("sessions", "h"), ("payments", "h"),

@@ -8,18 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, LongType, StructType
 
-from harness.fixtures import Given, change_feed
+from harness.fixtures import Given, change_feed, eventful_feed
 from souklake.functions import documents, values
 from souklake.operators import changes, checks, gold, mutations, silver, synth
 from souklake.plans import batch, publish, validate
+from souklake.plans.operations import KINDS, Operations
 from souklake.plans.history import plan_sizes
 from souklake.schemas import DIMENSIONS, FACTS, PRIMARY_KEYS, TABLES, Domain
 from souklake.session import run_folder
 from souklake.sources import bronze
 from souklake.sources.landing import read_landing, read_landing_lines, write_landing
 from souklake.sources.snapshot import exported_snapshot
-from souklake.sources.tables import append_record, footer_counts, read_table, write_table
+from souklake.sources.tables import append_record, footer_counts, read_table, stored_files, write_table
 from souklake.streaming.landing import distinct_events, drain
+from souklake.streaming.replay import State, replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -554,6 +556,73 @@ def _(given: Given) -> DataFrame:
     return given.spark.read.schema(stream.schema).parquet(f"{out}/events")
 
 
+#: Tables of the eventful feed, all of one shape.
+REPLAYED = {t: (IMAGE, ("id",)) for t in ("transactions", "BuyerSessionAnalytics", "PaymentProcessingEvents", "buyers", "vendors")}
+
+
+def replayed(given: Given) -> State:
+    """State after replaying a landing zone in about four micro-batches.
+
+    The first changes are landed last, and the purchases once more, forty days later.
+    """
+
+    def build(given: Given, root: str) -> None:
+        feed = eventful_feed(given.raw("events"))
+        late = feed.where("raw LIKE '%\"transactions\"%'").withColumn("ingested_at", F.col("ingested_at") + F.expr("interval 40 days"))
+        by_place = F.length("lsn") > 5
+        for name, part in (("later", feed.where(by_place)), ("earlier", feed.where(~by_place)), ("repeats", late)):
+            write_landing(changes.envelope(part, DATABASE, F.col("ingested_at")), f"{root}/zone", name)
+        files = stored_files(given.spark, f"{root}/zone", "*.gz").count()
+        state = State(given.spark, f"{root}/state", REPLAYED, buckets=8, segment_bits=10)
+        replay(state, f"{root}/zone", f"{root}/checkpoint", files_per_batch=max(1, -(-files // 4))).awaitTermination()
+
+    return State(given.spark, f"{once(given, 'replayed', build)}/state", REPLAYED, buckets=8, segment_bits=10)
+
+
+@query("cdc_replay_state")
+def _(given: Given) -> DataFrame:
+    """Stored state of all tables after several micro-batches."""
+    state = replayed(given)
+    return checks.union([state.current(t).select(F.lit(t).alias("table"), "id", "amount") for t in REPLAYED])
+
+
+@query("cdc_exact_dedup")
+def _(given: Given) -> DataFrame:
+    """Every event once, repeats forty days later left out."""
+    return replayed(given).deliveries.events().select("table", "source.lsn", "source.xid", "ingested_at")
+
+
+# stored operations --------------------------------------------------------------------------
+
+
+def in_two_batches(given: Given, name: str, table: DataFrame, kind: str, events: DataFrame, moment: str) -> DataFrame:
+    """A stored table after the earlier and then the later half of the events."""
+    operations = Operations(given.spark, run_folder(given.spark, "operations"), {name: table.schema}, buckets=16)
+    operations.load({name: table})
+    ends = events.agg(F.min(moment).alias("low"), F.max(moment).alias("high")).first()
+    middle = F.lit(ends["low"] + (ends["high"] - ends["low"]) / 2)
+    change = next(c for c in KINDS[kind] if c.table == name)
+    for number, half in enumerate((F.col(moment) < middle, F.col(moment) >= middle), start=1):
+        operations.table(name).update(number, change.rows(events.where(half)), [F.col(k) for k in change.key], change.merge)
+    return operations.read(name)
+
+
+@query("stored_payment_settle")
+def _(given: Given) -> DataFrame:
+    return in_two_batches(given, "PaymentProcessingEvents", given.payments(), "settlements", given.settlements(), "settled_at")
+
+
+@query("stored_vendor_counters")
+def _(given: Given) -> DataFrame:
+    return in_two_batches(given, "vendors", given.vendors(), "purchases", given.purchases(), "purchased_at")
+
+
+@query("stored_transaction_status")
+def _(given: Given) -> DataFrame:
+    patched = in_two_batches(given, "transactions", given.transactions(), "completions", given.completions(), "completed_at")
+    return _financials(patched, "transaction_financials", "amount", "currency", "status", "updated_at")
+
+
 # validation ---------------------------------------------------------------------------------
 
 

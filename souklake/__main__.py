@@ -1,4 +1,4 @@
-"""Command line: python -m souklake <history|seed|land|batch|check> …  (or through spark-submit)."""
+"""Command line: python -m souklake <history|seed|land|replay|batch|check> …  (or through spark-submit)."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from souklake.session import session
 from souklake.sources.snapshot import exported_snapshot, jdbc_snapshot
 from souklake.sources.tables import path_exists, write_table
 from souklake.streaming.landing import POLL, drain, land, stop_when_idle
+from souklake.streaming.replay import State, replay
 
 CHANGE_ROWS = "lsn string, xid string, raw string, ordinal bigint"
 
@@ -24,7 +25,10 @@ PHASE_FOLDERS = {"setup": ("snapshot",), "history": ("bronze",), "cdc": ("landin
 
 
 def _snapshot(spark: SparkSession, args: argparse.Namespace) -> batch.SnapshotReader:
-    """An exported copy, or the tables of a database."""
+    """An exported copy, the state that a replay keeps, or the tables of a database."""
+    if args.state:
+        state = State(spark, args.state)
+        return state.current
     if not args.jdbc_url:
         return lambda table: exported_snapshot(spark, args.snapshot, table)
     properties = {}
@@ -69,6 +73,17 @@ def _land(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
     return {"landed_changes": sum(landed)}
 
 
+def _replay(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
+    state = State(spark, args.state)
+    query = replay(state, args.landing, args.checkpoint, not args.drain, args.poll, args.files_per_batch)
+    if args.drain or args.idle_exit_seconds is None:
+        query.awaitTermination()
+    else:
+        stop_when_idle(query, args.idle_exit_seconds)
+    removed = state.discard_replaced() if args.purge else 0
+    return {"tables": sum(state.table(t).last_update() >= 0 for t in TABLES), "purged": removed}
+
+
 def _check(spark: SparkSession, args: argparse.Namespace) -> dict[str, int | str]:
     if args.phase == "setup":
         snapshot = _snapshot(spark, args)
@@ -86,6 +101,7 @@ def _check(spark: SparkSession, args: argparse.Namespace) -> dict[str, int | str
 
 def _snapshot_arguments(job: argparse.ArgumentParser) -> None:
     job.add_argument("--snapshot", help="exported copy: <snapshot>/<table>/*.parquet")
+    job.add_argument("--state", help="read the tables from the state of a replay instead")
     job.add_argument("--jdbc-url", help="read the tables from a database instead")
     job.add_argument("--jdbc-properties", help="JSON file of connection properties (user, password, driver)")
     job.add_argument("--jdbc-parts", type=int, default=16, help="tasks that read one table")
@@ -108,6 +124,15 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--idle-exit-seconds", type=float)
     job.add_argument("--poll", default=POLL)
     job.add_argument("--files-per-batch", type=int, default=1000)
+    job = jobs.add_parser("replay", help="replay landed changes into the tables' current rows")
+    job.add_argument("--landing", required=True)
+    job.add_argument("--state", required=True)
+    job.add_argument("--checkpoint", required=True)
+    job.add_argument("--drain", action="store_true", help="replay what there is and exit")
+    job.add_argument("--idle-exit-seconds", type=float)
+    job.add_argument("--poll", default=POLL)
+    job.add_argument("--files-per-batch", type=int, default=1000)
+    job.add_argument("--purge", action="store_true", help="remove replaced state at the end")
     job = jobs.add_parser("batch", help="build and publish silver and gold")
     job.add_argument("--bronze", required=True)
     job.add_argument("--lake", required=True)
@@ -126,7 +151,7 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     known = parser()
     args = known.parse_args(argv)
     needed = PHASE_FOLDERS[args.phase] if args.job == "check" else ("snapshot",) if args.job == "batch" else ()
-    absent = [f"--{name}" for name in needed if not getattr(args, name) and not (name == "snapshot" and args.jdbc_url)]
+    absent = [f"--{name}" for name in needed if not getattr(args, name) and not (name == "snapshot" and (args.jdbc_url or args.state))]
     if absent:
         known.error(f"{args.job} needs {', '.join(absent)}")
     return args
@@ -142,6 +167,8 @@ def main(argv: list[str] | None = None) -> dict:
         result = _seed(spark, args.snapshot)
     elif args.job == "land":
         result = _land(spark, args)
+    elif args.job == "replay":
+        result = _replay(spark, args)
     elif args.job == "batch":
         result = batch.run_batch(spark, args.bronze, _snapshot(spark, args), args.lake)
         if args.purge:

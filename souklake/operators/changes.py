@@ -157,10 +157,7 @@ def flatten(envelopes: DataFrame, schema: StructType) -> DataFrame:
 
 def _last_truncates(envelopes: DataFrame) -> Column:
     """Map of table to the place of its last truncate: one entry a table, whatever the log holds."""
-    parsed = envelopes.where(F.get_json_object("change", "$.action") == "T")
-    last = parsed.groupBy(routed_table(F.col("change")).alias("table")).agg(
-        F.max(F.struct(lsn_number(F.col("source.lsn")), F.col("source.ordinal"))).alias("place")
-    )
+    last = truncates(envelopes).select("table", F.struct("position", "ordinal").alias("place"))
     return last.agg(F.map_from_entries(F.collect_list(F.struct("table", "place")))).scalar()
 
 
@@ -176,10 +173,24 @@ def current_rows(
     flat = flatten(envelopes, schema)
     truncated = F.try_element_at(_last_truncates(envelopes), F.col("table"))
     flat = flat.where(F.coalesce(F.struct("position", "ordinal") >= truncated, F.lit(True)))
-    same_key = [F.col(f"new.{name}").eqNullSafe(F.col(f"old.{name}")) for name in key]
+    images = row_images(flat, schema, key)
+    kept = ["table"] if by_table else []
+    return (
+        newest_images(images, (["table"] if by_table else []) + list(key))
+        .where("alive")
+        .select(*kept, *[field.name for field in schema])
+    )
+
+
+def row_images(flat: DataFrame, schema: StructType, key: tuple[str, ...]) -> DataFrame:
+    """What each flattened change makes of its rows: the row it leaves, and the row it ends.
+
+    An update that changes the key does both. Columns: table, position, ordinal, event_id, alive
+    and those of the schema (of an ended row, what its old image has).
+    """
     moved = F.lit(False)
-    for same in same_key:
-        moved = moved | ~same
+    for name in key:
+        moved = moved | ~F.col(f"new.{name}").eqNullSafe(F.col(f"old.{name}"))
     ended = F.struct(F.lit(False).alias("alive"), F.col("old").alias("row"))
     living = F.struct(F.lit(True).alias("alive"), F.col("new").alias("row"))
     outcome = (
@@ -188,17 +199,22 @@ def current_rows(
         .when(F.col("action").isin("I", "U"), F.array(living))
         .otherwise(F.array().cast(f"array<struct<alive: boolean, row: {schema.simpleString()}>>"))
     )
-    images = flat.select(
-        "table", "position", "ordinal", "event_id", F.explode(outcome).alias("_o")
-    ).select("table", "position", "ordinal", "event_id", "_o.alive", "_o.row.*")
-    keys = (["table"] if by_table else []) + list(key)
+    return flat.select("table", "position", "ordinal", "event_id", F.explode(outcome).alias("_o")).select(
+        "table", "position", "ordinal", "event_id", "_o.alive", "_o.row.*"
+    )
+
+
+def newest_images(images: DataFrame, keys: list[str]) -> DataFrame:
+    """The last image of every key in log order."""
     newest = W.partitionBy(*keys).orderBy(
         F.desc("position"), F.desc("ordinal"), F.desc("alive"), F.desc("event_id")
     )
-    kept = ["table"] if by_table else []
-    return (
-        images.withColumn("_n", F.row_number().over(newest))
-        .where("_n = 1")
-        .where("alive")
-        .select(*kept, *[field.name for field in schema])
-    )
+    return images.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
+
+
+def truncates(envelopes: DataFrame) -> DataFrame:
+    """(table, position, ordinal) of each table's last truncate: at most one row a table."""
+    parsed = envelopes.where(F.get_json_object("change", "$.action") == "T")
+    place = F.struct(lsn_number(F.col("source.lsn")).alias("position"), F.col("source.ordinal").alias("ordinal"))
+    last = parsed.groupBy(routed_table(F.col("change")).alias("table")).agg(F.max(place).alias("_p"))
+    return last.select("table", "_p.position", "_p.ordinal")

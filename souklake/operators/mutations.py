@@ -31,15 +31,29 @@ def _shape(rows: DataFrame, table: str, columns: dict[str, Column]) -> DataFrame
 # inserts ------------------------------------------------------------------------------------
 
 
-def absent_rows(target: DataFrame, incoming: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    """Incoming rows whose key the target lacks, one per key: what an append has to write."""
-    return incoming.dropDuplicates(list(key)).join(target.select(*key), list(key), "left_anti").select(
-        *incoming.columns
+def absent_rows(
+    target: DataFrame, incoming: DataFrame, key: tuple[str, ...], order: tuple[str, ...] = ()
+) -> DataFrame:
+    """Incoming rows whose key the target lacks, one per key: what an append has to write.
+
+    Of several incoming rows of a key the first by `order` is taken, and of those that tie, or
+    without an order, the first by all other columns: the same row in every run.
+    """
+    columns = incoming.columns
+    ranked = W.partitionBy(*key).orderBy(*order, *[c for c in columns if c not in (*key, *order)])
+    alone = len(columns) == len(key) and not order
+    one = (
+        incoming.dropDuplicates()
+        if alone
+        else incoming.withColumn("_n", F.row_number().over(ranked)).where("_n = 1")
     )
+    return one.join(target.select(*key), list(key), "left_anti").select(*columns)
 
 
-def insert_if_absent(target: DataFrame, incoming: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    return target.unionByName(absent_rows(target, incoming, key))
+def insert_if_absent(
+    target: DataFrame, incoming: DataFrame, key: tuple[str, ...], order: tuple[str, ...] = ()
+) -> DataFrame:
+    return target.unionByName(absent_rows(target, incoming, key, order))
 
 
 def vendor_first_products(products: DataFrame, count: int = 2) -> DataFrame:

@@ -33,6 +33,22 @@ def write_table(frame: DataFrame, path: str, max_records: int | None = None) ->
     return seen.get["rows"]
 
 
+def write_partitions(frame: DataFrame, path: str, *columns: str, keep_others: bool = False) -> None:
+    """Write a Parquet table partitioned by columns, small partitions in one file and large ones split.
+
+    The folder is replaced, or with `keep_others` only the partitions that the frame has.
+    """
+    (
+        frame.hint("rebalance", *columns)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if keep_others else "static")
+        .option("compression", CODEC)
+        .option("parquet.compression.codec.zstd.level", str(CODEC_LEVEL))
+        .partitionBy(*columns)
+        .parquet(path)
+    )
+
+
 def read_table(spark: SparkSession, schema: StructType, paths: str | Sequence[str]) -> DataFrame:
     """Every Parquet file below the paths, with a declared schema (no inference)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
