@@ -282,6 +282,10 @@ ORACLE["cdc_route"] = """SELECT "table", count(*) AS changes FROM c_events GROUP
 ORACLE["cdc_batch_stats"] = """
 SELECT "table", '0/' || hex(min(position)) AS first_lsn, '0/' || hex(max(position)) AS last_lsn,
        count(*) AS event_count FROM c_events GROUP BY 1"""
+ORACLE["landed_tags"] = ORACLE["cdc_batch_stats"]
+ORACLE["landing_quarantine"] = """
+SELECT if(xid::bigint % 7 = 0 OR xid::bigint % 11 = 0, 'broken', 'envelopes') AS kind, "table", count(*) AS lines
+FROM c_events GROUP BY ALL"""
 ORACLE["cdc_dedup"] = """
 SELECT event_id, "table", min(ingested_at) AS ingested_at, any_value(lsn) AS lsn, any_value(change) AS change
 FROM c_events GROUP BY 1, 2"""
@@ -553,6 +557,9 @@ ORACLE["check_references"] = _rules(
     }
 )
 _CROSSES = '"OriginRegion" IS DISTINCT FROM "DestRegion"'
+ORACLE["check_relations"] = "\nUNION ALL ".join(
+    ORACLE[f"check_{name}"] for name in ("item_vendor", "two_items", "payment_order", "prediction_order", "references")
+)
 ORACLE["check_border"] = _rules(
     **{
         "border flag": f"""SELECT count(*) FROM f_transactions

@@ -17,7 +17,7 @@ from souklake.plans.history import plan_sizes
 from souklake.schemas import DIMENSIONS, FACTS, PRIMARY_KEYS, TABLES, Domain
 from souklake.session import run_folder
 from souklake.sources import bronze
-from souklake.sources.landing import read_landing, read_landing_lines, write_landing
+from souklake.sources.landing import PARTITIONS, batch_tags, broken_lines, read_landing, read_landing_lines, write_landing
 from souklake.sources.snapshot import exported_snapshot
 from souklake.sources.tables import append_record, footer_counts, read_table, stored_files, write_table
 from souklake.streaming.landing import distinct_events, drain
@@ -544,6 +544,33 @@ def _(given: Given) -> DataFrame:
     return envelopes_read.groupBy("table").agg(F.count(F.lit(1)).alias("changes"))
 
 
+@query("landed_tags")
+def _(given: Given) -> DataFrame:
+    """Tags that the landed batch left, of the batch that was stored twice."""
+    return batch_tags(given.spark, landed_batch(given)).drop("batch")
+
+
+@query("landing_quarantine")
+def _(given: Given) -> DataFrame:
+    """Envelopes and broken lines per table of a zone where lines are cut short or are no text."""
+
+    def build(given: Given, root: str) -> None:
+        transaction = F.get_json_object("value", "$.source.xid").cast("bigint")
+        half = F.substr("value", F.lit(1), F.length("value") / 2)
+        noise = F.concat(F.lit("\u0000\ufffd"), F.reverse("value"))
+        damaged = F.when(transaction % 7 == 0, half).when(transaction % 11 == 0, noise).otherwise(F.col("value"))
+        lines = read_landing_lines(given.spark, landed_batch(given)).withColumn("value", damaged)
+        lines.write.partitionBy(*PARTITIONS).option("compression", "gzip").text(root)
+
+    root = once(given, "damaged", build)
+    kinds = {"envelopes": read_landing(given.spark, root), "broken": broken_lines(given.spark, root)}
+    counts = [
+        frame.groupBy("table").agg(F.count(F.lit(1)).alias("lines")).select(F.lit(kind).alias("kind"), "table", "lines")
+        for kind, frame in kinds.items()
+    ]
+    return checks.union(counts)
+
+
 @query("cdc_stream_dedup")
 def _(given: Given) -> DataFrame:
     """Landed deliveries, deduplicated by a stream; deliveries of one event share their time."""
@@ -676,6 +703,7 @@ query("check_prediction_order")(
     lambda given: checks.prediction_order_rule(given.predictions(), given.transactions())
 )
 query("check_references")(lambda given: checks.reference_rules(fixture(given)))
+query("check_relations")(lambda given: checks.relation_rules(fixture(given)))
 query("check_border")(lambda given: checks.border_rules(given.transactions()))
 
 

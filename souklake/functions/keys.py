@@ -77,6 +77,12 @@ def key_pattern(key: tuple[str, int]) -> str:
     return rf"{key[0]}\d{{{key[1]}}}"
 
 
+def key_number(value: Column, key: tuple[str, int]) -> Column:
+    """Number of a key, NULL when the key has another form (or more digits than a number holds)."""
+    digits = F.regexp_extract(value, rf"\A{key[0]}(\d{{{key[1]},18}})\z", 1)
+    return F.nullif(digits, F.lit("")).cast("bigint")
+
+
 def history_pattern(prefix: str) -> str:
     return rf"{prefix}-HIST-\d{{{HISTORY_WIDTH}}}"
 

@@ -88,29 +88,52 @@ def schema_rules(
     return spark.createDataFrame(found, "rule string, violations long")
 
 
-def universe_keys(spark: SparkSession, table: str, domain: Domain) -> DataFrame:
-    """All keys a dimension must have."""
-    i = F.col("i")
-    numbers = synth.row_numbers(spark, 1, domain.dimension_rows()[table])
-    columns = {
-        "markets": {"PlatCode": keys.market_key(i)},
-        "vendors": {"SellerKey": keys.vendor_key(i)},
-        "buyers": {"AcqCode": keys.buyer_key(i)},
-        "products": keys.product_key(i, domain.products_per_vendor),
-    }[table]
-    return numbers.select(*[column.alias(name) for name, column in columns.items()])
+def _universe_number(table: str, domain: Domain) -> Column:
+    """Number of a dimension row in the generated domain, NULL of a key that no number has."""
+    if table == "products":
+        vendor = keys.key_number(F.col("SellerPointer"), keys.VENDOR_KEY)
+        age = F.col("ListingAge")
+        place = F.when(age == 0, domain.products_per_vendor).otherwise(age)
+        number = (vendor - 1) * domain.products_per_vendor + place
+        made = keys.product_key(number, domain.products_per_vendor)
+    else:
+        column, key = _KEY_FORMATS[table]
+        number = keys.key_number(F.col(column), key)
+        made = {column: keys.padded(key[0], number, key[1])}
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(value) for c, value in made.items()])
+    return F.when(same & (number > 0), number)
 
 
 def universe_rules(
     spark: SparkSession, dimensions: dict[str, DataFrame], domain: Domain = Domain()
 ) -> DataFrame:
-    """Dimension keys equal the generated domain, in both directions."""
+    """Dimension keys equal the generated domain, in both directions.
+
+    A key is a number of the domain, so a table is a bitmap of 4 KiB for 32,768 numbers, built
+    map-side: no key is shuffled, and repeated keys count once. Keys that no number has count by
+    row.
+    """
     found = []
     for table, frame in dimensions.items():
-        key = list(PRIMARY_KEYS[table])
-        actual, expected = frame.select(*key).distinct(), universe_keys(spark, table, domain)
-        found.append(count_rows(f"{table} missing", expected.join(actual, key, "left_anti")))
-        found.append(count_rows(f"{table} unexpected", actual.join(expected, key, "left_anti")))
+        size = domain.dimension_rows()[table]
+        numbers = frame.select(_universe_number(table, domain).alias("i"))
+        placed = numbers.select(
+            F.coalesce(F.bitmap_bucket_number("i"), F.lit(-1)).alias("page"),
+            F.coalesce(F.col("i").between(1, size), F.lit(False)).alias("inside"),
+            F.coalesce(F.bitmap_bit_position("i"), F.lit(0)).alias("bit"),
+        )
+        pages = placed.groupBy("page", "inside").agg(
+            F.bitmap_construct_agg("bit").alias("bits"), F.count(F.lit(1)).alias("rows")
+        )
+        distinct = F.when(F.col("page") == -1, F.col("rows")).otherwise(F.bitmap_count("bits"))
+        totals = pages.agg(
+            (F.lit(size) - F.coalesce(F.sum(F.when(F.col("inside"), distinct)), F.lit(0))).alias("missing"),
+            F.coalesce(F.sum(F.when(~F.col("inside"), distinct)), F.lit(0)).alias("unexpected"),
+        )
+        rows = F.array(
+            *[F.struct(F.lit(f"{table} {side}").alias("rule"), F.col(side).alias("violations")) for side in ("missing", "unexpected")]
+        )
+        found.append(totals.select(F.explode(rows).alias("_r")).select("_r.*"))
     return union(found)
 
 
@@ -223,6 +246,84 @@ def reference_rules(frames: dict[str, DataFrame]) -> DataFrame:
     return union(found)
 
 
+def _dimension_references(frames: dict[str, DataFrame]) -> DataFrame:
+    """References to other parents than transactions, all in one: values are folded per parent and
+    reference map-side, and meet the parents' keys in one anti join."""
+    references = [r for r in REFERENCES if r[2] != "transactions"]
+
+    def value(columns: tuple[str, ...]) -> Column:
+        whole = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in columns])
+        return F.when(whole, F.concat_ws("\u0001", *[F.col(c).cast("string") for c in columns]))
+
+    used = []
+    for child in dict.fromkeys(child for child, *_ in references):  # a table is read once, whatever it refers to
+        named = [
+            F.struct(F.lit(f"{child}.{columns[-1]} -> {parent}").alias("rule"), F.lit(parent).alias("parent"), value(columns).alias("key"))
+            for table, columns, parent, _ in references
+            if table == child
+        ]
+        used.append(frames[child].select(F.explode(F.array(*named)).alias("_r")).select("_r.*"))
+    known = [
+        frames[parent].select(F.lit(parent).alias("parent"), value(columns).alias("key"))
+        for parent, columns in dict.fromkeys((parent, columns) for _, _, parent, columns in references)
+    ]
+    folded = union(used).groupBy("rule", "parent", "key").agg(F.count(F.lit(1)).alias("_n"))
+    return folded.join(union(known), ["parent", "key"], "left_anti").groupBy("rule").agg(F.sum("_n").alias("violations"))
+
+
+def relation_rules(frames: dict[str, DataFrame]) -> DataFrame:
+    """References, vendors, item counts and order of times, with one shuffle of the transactions.
+
+    What names a transaction is one narrow row: its kind, the transaction, and the vendor or time
+    that the rules compare. The rows, with the item count of each transaction among them, join the
+    transactions once (adaptive execution splits a hot transaction, no aggregate stands between),
+    and all rules are counted in one aggregate. The values are those of the separate rules.
+    """
+    kinds = {
+        "transaction_products": ("EventLink", "SellerPointer", None),
+        "PaymentProcessingEvents": ("transaction_ref", None, "event_timestamp"),
+        "RiskModelPredictions": ("txn_link_ref", None, "prediction_timestamp"),
+        "risk_analytics": ("TxnLink", None, None),
+    }
+
+    def narrow(frame: DataFrame, kind: str, ref: str, vendor: str | None, moment: str | None, lines: Column) -> DataFrame:
+        return frame.select(
+            F.lit(kind).alias("kind"),
+            F.col(ref).alias("ref"),
+            (F.col(vendor) if vendor else F.lit(None).cast("string")).alias("vendor"),
+            (F.col(moment) if moment else F.lit(None).cast("timestamp_ntz")).alias("moment"),
+            lines.cast("bigint").alias("lines"),
+        )
+
+    children = [narrow(frames[t], t, *columns, F.lit(None)) for t, columns in kinds.items()]
+    counted = frames["transaction_products"].groupBy("EventLink").agg(F.count(F.lit(1)).alias("_lines"))
+    children.append(narrow(counted, "lines", "EventLink", None, None, F.col("_lines")))
+    transactions = frames["transactions"].select("EventCode", "VendorLink", "EventTimestamp")
+    joined = union(children).join(transactions, F.col("ref") == F.col("EventCode"), "left")
+    kind, orphan = F.col("kind"), F.col("EventCode").isNull()
+    early = F.col("moment") < F.col("EventTimestamp")
+    rules = {
+        "item vendor": (kind == "transaction_products") & (F.col("vendor") != F.col("VendorLink")),
+        "payment predates transaction": (kind == "PaymentProcessingEvents") & early,
+        "prediction predates transaction": (kind == "RiskModelPredictions") & early,
+    }
+    for child, columns, parent, _ in REFERENCES:
+        if parent == "transactions":
+            rules[f"{child}.{columns[-1]} -> {parent}"] = (kind == child) & orphan
+    # Transactions with two items, taken off all of them: the rest, those without an item too, break the rule.
+    pairs = (kind == "lines") & (F.col("lines") == 2) & ~orphan
+    found = tally(joined, rules | {"two items": pairs}).select(
+        "rule", F.when(F.col("rule") == "two items", -F.col("violations")).otherwise(F.col("violations")).alias("violations")
+    )
+    every = count_rows("two items", frames["transactions"])
+    names = [f"{c}.{columns[-1]} -> {parent}" for c, columns, parent, _ in REFERENCES if parent != "transactions"]
+    quiet = every.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(n) for n in names])).alias("rule"), F.lit(0).cast("bigint").alias("violations")
+    )
+    parts = union([found, every, quiet, _dimension_references(frames)])
+    return parts.groupBy("rule").agg(F.sum("violations").alias("violations"))
+
+
 def border_rules(transactions: DataFrame) -> DataFrame:
     """Border flag, route and label agree with the region pair; an unknown region is a region."""
     crosses = ~F.col("OriginRegion").eqNullSafe(F.col("DestRegion"))

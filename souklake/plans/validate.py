@@ -14,7 +14,7 @@ from souklake.plans import publish
 from souklake.plans.history import OVERSHOOT
 from souklake.schemas import DIMENSIONS, FACTS, GOLD_SCHEMAS, TABLES, Domain
 from souklake.sources import bronze
-from souklake.sources.landing import read_landing_lines
+from souklake.sources.landing import batch_tags, broken_lines, read_landing, read_landing_lines
 
 RULE = "rule string, violations long"
 
@@ -85,17 +85,21 @@ def history_rules(spark: SparkSession, root: str, domain: Domain = Domain()) ->
             checks.cardinality_rules(counts, domain),
             checks.universe_rules(spark, {t: tables[t] for t in DIMENSIONS}, domain),
             checks.format_rules(tables, kinds=("history",), history_rows=rows),
-            checks.reference_rules(tables),
+            checks.relation_rules(tables),
             checks.border_rules(transactions),
             checks.history_item_rules(tables["transaction_products"], domain),
-            checks.item_vendor_rule(tables["transaction_products"], transactions),
-            checks.two_items_rule(tables["transaction_products"], transactions),
-            checks.payment_order_rule(tables["PaymentProcessingEvents"], transactions),
-            checks.prediction_order_rule(tables["RiskModelPredictions"], transactions),
         ]
     )
 
 
+def tag_rule(spark: SparkSession, root: str) -> DataFrame:
+    """Batches whose stored lines are not as many as their tags say."""
+    said = batch_tags(spark, root).groupBy("batch").agg(F.sum("event_count").alias("said"))
+    stored = read_landing(spark, root).groupBy("batch").agg(F.count(F.lit(1)).alias("stored"))
+    both = said.join(stored, "batch", "full")
+    return checks.tally(both, {"batch tags": ~F.col("said").eqNullSafe(F.col("stored"))})
+
+
 def landing_rules(spark: SparkSession, root: str) -> DataFrame:
     """Landing: envelopes are whole, and every table is one of the ten."""
     lines = read_landing_lines(spark, root)
@@ -104,6 +108,8 @@ def landing_rules(spark: SparkSession, root: str) -> DataFrame:
         [
             some.select(F.lit("landing is empty").alias("rule"), "violations"),
             checks.tally(lines, {"landing table": ~F.col("table").isin(*TABLES)}),
+            checks.count_rows("broken line", broken_lines(spark, root)),
+            tag_rule(spark, root),
             checks.envelope_rules(lines),
         ]
     )

@@ -130,6 +130,16 @@ def create_once(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file in place of any of that name."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def read_records(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 

@@ -32,4 +32,21 @@ def test_landing(spark, tmp_path):
     arguments = ["land", "--changes", source, "--landing", landing, "--checkpoint", f"{tmp_path}/cp", "--database", "db"]
     assert main([*arguments, "--drain"]) == {"landed_changes": feed.count()}
     assert main([*arguments, "--idle-exit-seconds", "2"]) == {"landed_changes": 0}
-    assert main(["check", "--phase", "cdc", "--landing", landing])["rules"] == 6
+    assert main(["check", "--phase", "cdc", "--landing", landing])["rules"] == 8
+
+
+def test_replay_feeds_the_batch(spark, tmp_path):
+    """Changes of a vendor are landed, replayed, and read as the batch's snapshot."""
+    from souklake.__main__ import _snapshot, parse
+    from tests.test_changes import change
+
+    source, landing, state = (f"{tmp_path}/{name}" for name in ("changes", "landing", "state"))
+    rows = [("0/100", "1", change("I", {"SellerKey": "SELLER-000001", "DaysActive": 3}, table="vendors"), None),
+            ("0/101", "1", change("U", {"SellerKey": "SELLER-000001", "DaysActive": 4}, table="vendors"), None)]
+    spark.createDataFrame(rows, "lsn string, xid string, raw string, ordinal bigint").write.parquet(source)
+    main(["land", "--changes", source, "--landing", landing, "--checkpoint", f"{tmp_path}/cp", "--database", "db", "--drain"])
+    arguments = ["replay", "--landing", landing, "--state", state, "--checkpoint", f"{tmp_path}/rp"]
+    assert main([*arguments, "--drain", "--purge"]) == {"tables": 1, "purged": 0}
+    assert main([*arguments, "--idle-exit-seconds", "2"]) == {"tables": 1, "purged": 0}
+    args = parse(["batch", "--bronze", "b", "--lake", "l", "--state", state])
+    assert [r["DaysActive"] for r in _snapshot(spark, args)("vendors").collect()] == [4]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from harness.fixtures import Given
 from souklake.operators import checks, gold, silver, synth
-from souklake.schemas import Domain
+from souklake.schemas import TABLES, Domain
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -93,3 +93,33 @@ def test_counts_come_from_footers(spark):
 
     text = plan(footer_counts(spark, {"orders": f"{SF_DIR}/orders.parquet"}))
     assert "PushedAggregation: [COUNT(*)]" in text
+
+
+def test_relation_rules_shuffle_transactions_once(spark, tmp_path):
+    domain, tables = Domain(vendors=3, buyers=5, reference_rows=20), {}
+    for table in TABLES:
+        rows = synth.row_numbers(spark, 1, {**domain.dimension_rows(), "transaction_products": 40}.get(table, 20))
+        synth.history_rows(rows, table, domain).write.parquet(f"{tmp_path}/{table}")
+        tables[table] = spark.read.parquet(f"{tmp_path}/{table}")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rules = checks.relation_rules(tables)
+        text = plan(rules)
+        found = {r["rule"]: r["violations"] for r in rules.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Rows meet once; what the transactions refer to is folded per value before its exchange.
+    assert text.count("hashpartitioning(EventCode") == 1 and text.count("hashpartitioning(ref") == 1
+    assert len(found) == 13 and not any(found.values())
+
+
+def test_universe_rules_shuffle_no_key(spark):
+    dimensions = {
+        "vendors": spark.createDataFrame([("SELLER-000001",), ("SELLER-000001",), ("SELLER-000009",), ("SELLER-1",), (None,)], "SellerKey string"),
+        "products": synth.history_rows(synth.row_numbers(spark, 1, 8), "products", Domain(vendors=2)).select("ProdCat", "Subcategory", "ListingAge", "SellerPointer"),
+    }
+    rules = checks.universe_rules(spark, dimensions, Domain(vendors=2))
+    exchanges = [line for line in plan(rules).splitlines() if "hashpartitioning" in line]
+    assert exchanges and all("hashpartitioning(page" in line for line in exchanges)
+    found = {r["rule"]: r["violations"] for r in rules.collect()}
+    assert found == {"vendors missing": 1, "vendors unexpected": 3, "products missing": 0, "products unexpected": 0}

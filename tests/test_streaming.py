@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from harness.fixtures import Given
 from souklake.operators import changes, checks
 from souklake.plans import validate
-from souklake.sources.landing import read_landing, read_landing_lines, write_landing
+from souklake.sources.landing import broken_lines, read_landing, read_landing_lines, write_landing
 from souklake.streaming.landing import distinct_events, drain, land, stop_when_idle
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -142,3 +142,20 @@ def test_hot_table_is_split_into_files(spark, tmp_path):
     files = glob.glob(f"{tmp_path}/zone/table=buyers/**/*.gz", recursive=True)
     assert len(files) > 1 and all(os.path.getsize(f) > 0 for f in files)
     assert read_landing(spark, f"{tmp_path}/zone").count() == 20_000
+
+
+def test_broken_lines_are_kept_and_the_rest_is_read(spark, feed, tmp_path):
+    """A line cut short, one of other bytes, a JSON line without an event and an empty object."""
+    zone = f"{tmp_path}/zone"
+    write_landing(changes.envelope(feed.limit(5), "db"), zone, "b")
+    folder = glob.glob(f"{zone}/table=*/ingest_date=*/hour=*/batch=b")[0]
+    with open(f"{folder}/more.txt", "wb") as out:
+        out.write(b'{"schema_version":1,"event_id":"ab\n\xff\xfe\x00\x80{\n{"other": 1}\n{}\n')
+    assert read_landing(spark, zone).count() == 5
+    assert read_landing(spark, zone).where("event_id IS NULL").count() == 0
+    broken = broken_lines(spark, zone)
+    assert broken.count() == 4 and broken.select("batch").distinct().count() == 1
+    rules = {r["rule"]: r["violations"] for r in validate.landing_rules(spark, zone).collect()}
+    assert rules["broken line"] == 4 and rules["batch tags"] == 0
+    os.remove(f"{zone}/_batches/b.json")
+    assert {r["rule"]: r["violations"] for r in validate.tag_rule(spark, zone).collect()} == {"batch tags": 1}
