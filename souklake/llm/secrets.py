@@ -7,14 +7,18 @@ whose constants are carried on. A literal is scored by its target names and its
 cut into parts at case changes and separators.
 
 Spans are [start, end) in code points of the text. Nulls are empty texts without spans. Empty tables
-give no rows, other columns are not read, repeated rows are scanned each. Nothing is shuffled.
+give no rows, other columns are not read, repeated rows are scanned each. A text is read a fixed
+number of times, however long it is. Nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -36,11 +40,13 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 _HEX_RUN = re.compile(r"[0-9a-f]{24}")
 
+# A name begins where its run of name characters does (but for leading digits, dots and dashes), and
+# what has been read is not read again, so that a text costs one pass however long its runs are.
 _STATEMENT = re.compile(
-    r"""(?P<name>[A-Za-z_][A-Za-z0-9_.-]*)["'`]?[\x20\t]*(?:=>|:=|[:=](?!=))[\x20\t]*"""
-    r"""(?:(?P<quoted>"[^"\n]*"|'[^'\n]*')(?P<more>(?:[\x20\t]*\+?[\x20\t]*(?:"[^"\n]*"|'[^'\n]*'))*)"""
+    r"""(?<![A-Za-z0-9_.-])[0-9.-]*+(?P<name>[A-Za-z_][A-Za-z0-9_.-]*+)["'`]?[\x20\t]*+(?:=>|:=|[:=](?!=))[\x20\t]*+"""
+    r"""(?:(?P<quoted>"[^"\n]*+"|'[^'\n]*+')(?P<more>(?:[\x20\t]*+(?:\+[\x20\t]*+)?(?:"[^"\n]*+"|'[^'\n]*+'))*+)"""
     r"""|(?P<bare>[^\s"'`,;(){}\[\]]*[^\s"'`,;(){}\[\].:=!?]))"""
-    r"""|<(?P<tag>[A-Za-z_][\w.-]*)>(?P<inner>[^<>\s]+)</(?P=tag)>""",
+    r"""|<(?P<tag>[A-Za-z_][\w.-]*+)>(?P<inner>[^<>\s]++)</(?P=tag)>""",
     re.ASCII,
 )
 _PART = re.compile(r""""[^"\n]*"|'[^'\n]*'""")
@@ -65,7 +71,7 @@ def entropy(value: str) -> float:
     """Bits a character."""
     if not value:
         return 0.0
-    counts = [value.count(char) for char in set(value)]
+    counts = Counter(value).values()
     return -sum(count / len(value) * math.log2(count / len(value)) for count in counts)
 
 
@@ -118,12 +124,15 @@ def scan_text(text: str) -> list[Span]:
     base = base_spans(text)
     found = set(base)
     if "=" in text or ":" in text or "</" in text:
+        ordered = sorted(base, key=lambda span: span.start)
+        starts, reach = [span.start for span in ordered], list(accumulate((span.end for span in ordered), max))
         for name, value, places in literals(text):
             weight = name_score(name)
             # The name must speak for a secret; the look of the value alone never does.
             if weight >= 0.7 and weight + value_score(value) >= LEAST_SCORE:
                 for start, end in places:
-                    if end > start and not any(a <= start and end <= b for _, a, b in base):
+                    before = bisect_right(starts, start)
+                    if end > start and not (before and reach[before - 1] >= end):
                         found.add(Span("literal", start, end))
     return sorted(found, key=lambda span: (span.start, KINDS.index(span.kind), span.end))
 
