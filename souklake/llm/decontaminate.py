@@ -6,8 +6,9 @@ Each document is normalised and scanned once per automaton; hits are mapped back
 the original text. Documents are not shuffled.
 
 Patterns are collected to the driver in groups of items of at most `AUTOMATON_BYTES` of pattern
-text, a bound on what is broadcast; a benchmark beyond it takes one pass per group and a final
-aggregation by document. Null or wordless texts have no words and no patterns; items without an id
+text, a bound on what one automaton holds; with a benchmark beyond it, a task takes the automata one
+after the other for each batch of rows and unites their hits row by row, so that repeated and null
+ids are rows like others. Null or wordless texts have no words and no patterns; items without an id
 are no items. Repeated items count once. Other columns are not read.
 """
 
@@ -120,44 +121,39 @@ def scan(
     kind = docs.schema[id_column].dataType.simpleString()
     context = docs.sparkSession.sparkContext
 
-    def scanned(patterns: list[tuple[bytes, tuple]]) -> DataFrame:
-        key = _key(patterns)
-        shared = context.broadcast(tuple(patterns))
-
-        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            automaton = _automaton(key, shared.value)
-            for batch in batches:
-                counts, hits, names, runs = [], [], [], []
-                for text in to_bytes(batch.column(1)):
-                    count, hit, normal, items = find(text, automaton)
-                    counts.append(count)
-                    hits.append(int(hit.sum()))
-                    names.append(sorted(map(str, items)))
-                    if items:
-                        starts, ends = word_offsets(normal)
-                        edges = np.flatnonzero(np.diff(np.concatenate(([False], hit, [False])).astype(np.int8)))
-                        runs.append([{"start": int(starts[a]), "end": int(ends[b - 1])} for a, b in zip(edges[0::2], edges[1::2])])
-                    else:
-                        runs.append([])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0),
-                        pa.array(counts, pa.int64()),
-                        pa.array(hits, pa.int64()),
-                        pa.array(names, pa.list_(pa.string())),
-                        pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                    ],
-                    names=[id_column, "n_words", "n_hit", "items", "spans"],
-                )
-
-        return docs.mapInArrow(
-            task, f"`{id_column}` {kind}, n_words long, n_hit long, items array<string>, spans array<struct<start:bigint,end:bigint>>"
-        )
-
     groups = list(_groups(benchmark, item_id_column, item_text_column, width, limit))
-    if len(groups) == 1:
-        return scanned(groups[0])
-    return _merged(docs, [scanned(group) for group in groups], id_column, text_column)
+    shared = [(_key(group), context.broadcast(tuple(group))) for group in groups]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = to_bytes(batch.column(1))
+            hits: list[np.ndarray] = [np.zeros(0, bool)] * len(texts)
+            items: list[set] = [set() for _ in texts]
+            for number, (key, patterns) in enumerate(shared):  # rows are united by their place, never by id
+                automaton = _automaton(key, patterns.value)
+                for i, text in enumerate(texts):
+                    _, hit, _, found = find(text, automaton)
+                    hits[i] = hits[i] | hit if number else hit
+                    items[i] |= set(map(str, found))
+            runs = []
+            for text, hit in zip(texts, hits):
+                edges = np.flatnonzero(np.diff(np.concatenate(([False], hit, [False])).astype(np.int8)))
+                starts, ends = word_offsets(text.translate(_NORMAL)) if len(edges) else ([], [])
+                runs.append([{"start": int(starts[a]), "end": int(ends[b - 1])} for a, b in zip(edges[0::2], edges[1::2])])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([len(hit) for hit in hits], pa.int64()),
+                    pa.array([int(hit.sum()) for hit in hits], pa.int64()),
+                    pa.array([sorted(names) for names in items], pa.list_(pa.string())),
+                    pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                ],
+                names=[id_column, "n_words", "n_hit", "items", "spans"],
+            )
+
+    return docs.mapInArrow(
+        task, f"`{id_column}` {kind}, n_words long, n_hit long, items array<string>, spans array<struct<start:bigint,end:bigint>>"
+    )
 
 
 def contaminated(n_words: int, n_hit: int) -> bool:
@@ -191,45 +187,3 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item
 
 def _key(patterns: list[tuple[bytes, tuple]]) -> str:
     return hashlib.sha256(repr(sorted(patterns, key=lambda x: x[0])).encode()).hexdigest()
-
-
-def _merged(docs: DataFrame, parts: list[DataFrame], id_column: str, text_column: str) -> DataFrame:
-    """Results of several automata as one: runs are united, words in them counted anew."""
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    hits = (
-        found.where("n_hit > 0")
-        .groupBy(id_column)
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("spans")).alias("runs"))
-    )
-    kind = docs.schema[id_column].dataType.simpleString()
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for name, text, items, runs in zip(batch.column(0).to_pylist(), to_bytes(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                starts, ends = word_offsets(text.translate(_NORMAL))
-                steps = np.zeros(len(starts) + 1, np.int64)
-                for run in runs or []:
-                    steps[np.searchsorted(starts, run["start"])] += 1
-                    steps[np.searchsorted(ends, run["end"]) + 1] -= 1
-                hit = np.cumsum(steps[:-1]) > 0
-                edges = np.flatnonzero(np.diff(np.concatenate(([False], hit, [False])).astype(np.int8)))
-                spans = [{"start": int(starts[a]), "end": int(ends[b - 1])} for a, b in zip(edges[0::2], edges[1::2])]
-                rows.append((name, len(starts), int(hit.sum()), items or [], spans))
-            columns = list(zip(*rows)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(columns[0], batch.schema.field(0).type),
-                    pa.array(columns[1], pa.int64()),
-                    pa.array(columns[2], pa.int64()),
-                    pa.array(columns[3], pa.list_(pa.string())),
-                    pa.array(columns[4], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                ],
-                names=[id_column, "n_words", "n_hit", "items", "spans"],
-            )
-
-    return docs.join(hits, id_column, "left").select(id_column, text_column, "items", "runs").mapInArrow(
-        task, f"`{id_column}` {kind}, n_words long, n_hit long, items array<string>, spans array<struct<start:bigint,end:bigint>>"
-    )

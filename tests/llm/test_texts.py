@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 import re
 from collections import Counter
 
@@ -82,7 +83,7 @@ def test_decontamination(spark, limit):
     bench = spark.createDataFrame(items, "item_id long, text string, doc_id string")
     source = frame(spark, docs, "n_hit")
     found = decontaminate.scan(source, bench, limit=limit).collect()
-    assert Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in found if r.doc_id is not None) == Counter({k: v for k, v in want.items() if k[0] is not None})
+    assert Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in found) == want
     texts = {d: (x or "").encode() for d, x, _ in docs}
     for r in found:
         if r.doc_id is not None:
@@ -93,6 +94,42 @@ def test_decontamination(spark, limit):
     assert decontaminate.scan(source, bench.limit(0)).where("n_hit > 0").count() == 0
 
 
+@pytest.mark.parametrize("limit", [1 << 20, 50])
+def test_decontamination_keeps_null_and_repeated_ids_apart(spark, limit):
+    """One automaton or several: rows of one id, or of none, are judged each by its own text."""
+    item = " ".join(f"word{i}" for i in range(30))
+    bench = spark.createDataFrame([("a", item), ("b", "quite other words")], "item_id string, text string")
+    rows = [(None, item, ""), (None, "clean", ""), (7, item + " and more", ""), (7, "short", ""), (7, item + " and more", "")]
+    found = decontaminate.scan(frame(spark, rows, "n_hit"), bench, limit=limit).collect()
+    got = Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in found)
+    assert got == Counter({(None, 30, 30, ("a",)): 1, (None, 1, 0, ()): 1, (7, 32, 30, ("a",)): 2, (7, 1, 0, ()): 1})
+
+
+@pytest.mark.parametrize(
+    "text, kinds",
+    [
+        ("x: y " + "k" * 500_000, 0),
+        ("a-" * 250_000, 0),
+        ('x="a"' + " " * 500_000, 0),
+        ("x=" + ":" * 500_000, 0),
+        ('k="' * 150_000, 0),
+        ("\n".join(f'secret_{i} = "aB3$xY9zQ{i}"' for i in range(10_000)), 10_000),
+    ],
+)
+def test_secrets_of_very_long_texts_take_one_pass(text, kinds):
+    started = time.process_time()
+    assert len(secrets.scan_text(text)) == kinds
+    assert time.process_time() - started < 10
+
+
+def test_names_begin_with_their_run():
+    def spans(text):
+        return [(s.kind, text[s.start : s.end]) for s in secrets.scan_text(text)]
+
+    assert spans("run --client-secret-of=aB3$xY9z_Q1w x") == [("literal", "aB3$xY9z_Q1w")]
+    assert spans("9db_passwd_of: 'zX81kL$0pq'") == [("literal", "zX81kL$0pq")]
+
+
 def test_quality_rules(spark):
     good = " ".join(f"word{i} and{i % 7}" for i in range(60))
     rows = ODD + [(20, good, "x"), (21, good + " ###" * 40, "x"), (22, "\n".join([good] * 3), "x"), (23, good.upper(), "x"), (24, "a b c " * 40, "x")]
