@@ -35,24 +35,33 @@ def stored(frame: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every node of edges (a, b); component is the smallest id reachable.
 
-    Labels start as the node itself. A round takes the smallest label of the neighbours, then the
-    label of the label, until nothing changes. Edges point both ways and are folded by node before
-    each shuffle, so that a node with very many edges is no larger task than others.
+    A round points every node to its smallest neighbour and that one's smallest neighbour, then
+    replaces the ends of the edges by what they point to: equal edges fold, loops go, and only the
+    edges between different groups are left for the next round. At the end the rounds' pointers are
+    followed one after the other. Neighbours are folded by node before each shuffle, so that a node
+    with very many edges is no larger task than others.
+
+    Nulls are no nodes; loops and repeated edges add nothing, but a node that only has a loop is no
+    node here. No edges give no rows.
     """
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
-    labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("id")).alias("component")))
-    for _ in range(MAX_ROUNDS):
-        near = (
-            both.join(labels.select(F.col("id").alias("b"), "component"), "b")
-            .groupBy(F.col("a").alias("id"))
-            .agg(F.min("component").alias("near"))
-        )
-        nearer = labels.join(near, "id").select("id", F.least("component", "near").alias("new"), "component")
-        jump = labels.select(F.col("id").alias("new"), F.col("component").alias("further"))
-        moved = stored(
-            nearer.join(jump, "new").select("id", F.least("new", "further").alias("component"), (F.least("new", "further") < F.col("component")).alias("moved"))
-        )
-        labels = moved.select("id", "component")
-        if moved.where("moved").isEmpty():
-            return labels
-    raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
+    ends = [F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")]
+    left = stored(edges.where("a <> b").select(*ends).distinct())
+    steps: list[DataFrame] = []
+    while not left.isEmpty():
+        if len(steps) == MAX_ROUNDS:
+            raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
+        both = left.select("a", "b").union(left.select("b", "a"))
+        nearest = stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("id")).alias("to")))
+        onward = nearest.select(F.col("id").alias("to"), F.col("to").alias("further"))
+        step = stored(nearest.join(onward, "to").select("id", F.col("further").alias("to")))
+        steps.append(step)
+        moved = left.join(step.select(F.col("id").alias("a"), F.col("to").alias("c")), "a")
+        moved = moved.join(step.select(F.col("id").alias("b"), F.col("to").alias("d")), "b")
+        left = stored(moved.where("c <> d").select(F.greatest("c", "d").alias("a"), F.least("c", "d").alias("b")).distinct())
+    if not steps:
+        return left.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    found = steps[0].withColumnRenamed("to", "component")
+    for step in steps[1:]:
+        further = step.select(F.col("id").alias("component"), "to")
+        found = found.join(further, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    return stored(found)
