@@ -625,5 +625,19 @@ ORACLE["gold_reconcile"] = _rules(
 )
 
 
+# Rules on stored files, layers and records of a sound batch: every rule is there, with no violation.
+# Damaged cases are in tests/test_lake.py and tests/test_streaming.py.
+_SCHEMA_RULES = ["table set", *(f"{t} {part}" for t in _TABLE_VIEWS for part in ("columns", "types"))]
+_MODELS = ("daily_market_metrics", "vendor_risk_summary", "buyer_360", "product_performance")
+ORACLE["check_schema"] = _rules(**dict.fromkeys(_SCHEMA_RULES, "0"))
+ORACLE["check_manifest"] = _rules(**dict.fromkeys(("bronze size", "manifest bytes", "bronze tables", "manifest tables"), "0"))
+ORACLE["check_silver"] = _rules(**dict.fromkeys([*_SCHEMA_RULES, "silver counts", "silver manifest"], "0"))
+ORACLE["check_gold"] = _rules(
+    **dict.fromkeys(["gold models", "staged batches", "one batch", *(f"{m} {part}" for m in _MODELS for part in ("columns", "empty"))], "0")
+)
+# The given documents are written with blanks and their keys from last to first; canonical they are as before.
+ORACLE["json_canonical"] = 'SELECT "EventCode", transaction_financials FROM h_transactions'
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_views(body) for name, body in ORACLE.items()}

@@ -319,9 +319,15 @@ def _(given: Given) -> DataFrame:
 
 @query("json_canonical")
 def _(given: Given) -> DataFrame:
-    return silver.canonical_snapshot(history(given, "transactions"), "transactions").select(
-        "EventCode", "transaction_financials"
-    )
+    """Snapshot documents that were stored with blanks and their keys from last to first."""
+    document = F.col("transaction_financials")
+    parts = [
+        F.concat(F.lit(f' "{name}" :  {quote}'), F.get_json_object(document, f"$.{name}"), F.lit(quote))
+        for name, quote in (("trace", '"'), ("status", '"'), ("currency", '"'), ("amount", ""))
+    ]
+    loose = F.concat(F.lit("{"), F.concat_ws(",\n", *parts), F.lit(" }"))
+    stored = history(given, "transactions").withColumn("transaction_financials", loose)
+    return silver.canonical_snapshot(stored, "transactions").select("EventCode", "transaction_financials")
 
 
 @query("silver_gate")
