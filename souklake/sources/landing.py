@@ -54,7 +54,7 @@ def envelope_line() -> Column:
 
 def _tag_metrics() -> list[Column]:
     """Changes, first and last place of each table: three fixed-size aggregates a table."""
-    place, table, found = lsn_number(F.col("source.lsn")), F.col("table"), []
+    place, table, found = F.col("_place"), F.col("table"), []
     named = {name: table == name for name in TAGGED}
     named[OTHER] = ~F.coalesce(table.isin(*TAGGED), F.lit(False))
     for n, mine in enumerate(named.values()):
@@ -77,11 +77,15 @@ def write_landing(envelopes: DataFrame, root: str, batch: str) -> int:
     retried batch replaces what a lost attempt left, its tags too. Rebalancing by table keeps small
     tables in one file and lets adaptive execution split a table that holds most of the batch."""
     seen = Observation()
-    lines = with_hour(envelopes.observe(seen, F.count(F.lit(1)).alias("rows"), *_tag_metrics())).select(
-        envelope_line().alias("value"), "table", "ingest_date", "hour", F.lit(batch).alias("batch")
+    place = lsn_number(F.col("source.lsn")).alias("_place")
+    lines = with_hour(envelopes).select(
+        envelope_line().alias("value"), "table", "ingest_date", "hour", F.lit(batch).alias("batch"), place
     )
     (
         lines.hint("rebalance", "table")
+        # Above the exchange: adaptive execution drops an empty stage with all that it observed.
+        .observe(seen, F.count(F.lit(1)).alias("rows"), *_tag_metrics())
+        .drop("_place")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "gzip")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from harness.fixtures import Given
 from souklake.operators import changes, checks
 from souklake.plans import validate
-from souklake.sources.landing import broken_lines, read_landing, read_landing_lines, write_landing
+from souklake.sources.landing import batch_tags, broken_lines, read_landing, read_landing_lines, write_landing
 from souklake.streaming.landing import distinct_events, drain, land, stop_when_idle
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -159,3 +159,11 @@ def test_broken_lines_are_kept_and_the_rest_is_read(spark, feed, tmp_path):
     assert rules["broken line"] == 4 and rules["batch tags"] == 0
     os.remove(f"{zone}/_batches/b.json")
     assert {r["rule"]: r["violations"] for r in validate.tag_rule(spark, zone).collect()} == {"batch tags": 1}
+
+
+def test_an_empty_batch_leaves_empty_tags(spark, feed, tmp_path):
+    zone = f"{tmp_path}/zone"
+    assert write_landing(changes.envelope(feed.where("length(lsn) > 99"), "db"), zone, "none") == 0
+    assert write_landing(changes.envelope(feed.limit(3), "db"), zone, "some") == 3
+    assert {r["batch"] for r in batch_tags(spark, zone).collect()} == {"some"}
+    assert read_landing(spark, zone).count() == 3
