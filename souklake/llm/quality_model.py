@@ -8,7 +8,8 @@ sum_{i<j} <v_i, v_j> x_i x_j = (|sum_i v_i x_i|^2 - sum_i |v_i|^2 x_i^2) / 2.
 It is fitted on at most `SAMPLE_ROWS` labelled rows, those with the smallest hash of their id; the
 bound keeps the driver's share fixed. Every row is scored. Labels, language, source and id are never
 features. Null and empty texts are scored by their structure statistics alone. Labels that are null
-or that name no document are left out; an id with several labels or rows gives several examples.
+or that name no document are left out; an id with several labels gives an example for each, with several
+rows only one.
 Without any label every score is 0.5.
 """
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import WHITE, filtered, mix, to_bytes, window_hashes, word_hashes, word_spans
+from .text import WHITE, filtered, least_hashed, mix, to_bytes, window_hashes, word_hashes, word_spans
 
 SAMPLE_ROWS = 8_000
 WORD_BITS = 14
@@ -171,12 +172,9 @@ def fold(id_column: str = "doc_id", folds: int = 4) -> Column:
 
 def examples(docs: DataFrame, labels: DataFrame, label: str, usable: Column, rows: int, id_column: str, text_column: str) -> DataFrame:
     """Features and label of the sampled rows; texts leave the executors as features only."""
-    chosen = (
-        labels.where(usable & F.col(label).isNotNull() & F.col(id_column).isNotNull())
-        .select(id_column, F.col(label).cast("float").alias("_label"))
-        .orderBy(F.xxhash64(id_column), id_column, "_label")
-        .limit(rows)
-    )
+    ids = docs.select(id_column).distinct()  # labels of no document take no place in the sample
+    named = labels.where(usable & F.col(label).isNotNull()).select(id_column, F.col(label).cast("float").alias("_label"))
+    chosen = least_hashed(named.join(ids, id_column, "left_semi"), id_column, rows)
     # The chosen ids are at most `rows` rows: a bounded broadcast.
     joined = docs.select(id_column, text_column).join(F.broadcast(chosen), id_column).select(id_column, "_label", text_column)
 
@@ -194,7 +192,10 @@ def examples(docs: DataFrame, labels: DataFrame, label: str, usable: Column, row
             )
 
     kind = docs.schema[id_column].dataType.simpleString()
-    return joined.mapInArrow(task, f"`{id_column}` {kind}, label float, at binary, x binary")
+    found = joined.mapInArrow(task, f"`{id_column}` {kind}, label float, at binary, x binary")
+    # One example of each id and label, however often their rows are repeated: at most `rows`.
+    one = found.groupBy(id_column, "label").agg(F.min(F.struct("at", "x")).alias("features"))
+    return one.select(id_column, "label", "features.at", "features.x")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", usable: Column | None = None, rows: int = SAMPLE_ROWS, id_column: str = "doc_id", text_column: str = "text") -> Machine:

@@ -1,11 +1,13 @@
 """Quality rules as a short-circuit cascade.
 
 Each rule reads measures of a text and may reject it. On a sample, every rule is timed and its
-rejections counted; the rules then run in order of rejections per second and a text leaves at its
-first rejection. The order changes the work only: a text is kept if no rule rejects it.
+rejections counted; the rules then run in order of rejections per second among the texts that the
+rules before leave, and a text leaves at its first rejection. The order changes the work only: a text
+is kept if no rule rejects it.
 
-The sample is the `SAMPLE_ROWS` rows with the smallest hash of their id, whatever the input's size;
-it only orders the rules. Null texts are texts without words. Empty tables give no rows, other
+The sample is one text of each of the `SAMPLE_ROWS` ids with the smallest hashes, whatever the input's
+size; tasks try the rules on it and it only orders them. Null texts are texts without words, null ids
+are judged but not sampled, very long texts are measured whole in linear time. Empty tables give no rows, other
 columns are not read, repeated rows are judged alike.
 """
 
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import WHITE, covered, to_bytes, window_hashes, word_hashes, word_spans
+from .text import WHITE, covered, least_hashed, to_bytes, window_hashes, word_hashes, word_spans
 
 SAMPLE_ROWS = 256
 
@@ -110,24 +112,53 @@ def base_failed(m: Measures) -> bool:
     return m.n_words < 50 or 100 * m.n_repeat_words > 50 * m.n_words
 
 
-def estimate(texts: list[bytes], rules: tuple[Rule, ...] = RULES) -> list[tuple[Rule, float, float]]:
-    """Rules with cost (seconds a text) and share of rejections, best rejection per cost first."""
-    found = []
+def trial(text: bytes, rules: tuple[Rule, ...] = RULES) -> tuple[bool, list[float], list[bool]]:
+    """Base verdict of a text, and the seconds and verdict of each rule where the base measures are there."""
+    m = Measures(text)
+    failed = base_failed(m)
+    m.word_chars, m.n_symbols, m.n_dup_lines  # noqa: B018  every text's base measures are returned anyway
+    seconds, rejected = [], []
     for rule in rules:
-        rejected, spent = 0, 0.0
-        for text in texts:
-            measures = Measures(text)
-            measures.spans  # noqa: B018  every text's words are found anyway
-            started = time.perf_counter()
-            rejected += rule.rejects(measures)
-            spent += time.perf_counter() - started
-        found.append((rule, max(spent, 1e-9) / max(1, len(texts)), (rejected + 1) / (len(texts) + 2)))
-    return sorted(found, key=lambda x: -x[2] / x[1])
+        started = time.perf_counter()
+        rejected.append(bool(rule.rejects(m)))
+        seconds.append(time.perf_counter() - started)
+    return failed, seconds, rejected
 
 
-def sample(docs: DataFrame, id_column: str, text_column: str, rows: int = SAMPLE_ROWS) -> list[bytes]:
-    taken = docs.select(id_column, text_column).orderBy(F.xxhash64(id_column)).limit(rows).select(text_column)
-    return [(row[0] or "").encode() for row in taken.collect()]
+def order(trials: list[tuple[bool, list[float], list[bool]]], rules: tuple[Rule, ...] = RULES) -> list[tuple[Rule, float, float]]:
+    """Rules with cost (seconds a text) and share of rejections, in the order in which they should run.
+
+    Only texts that pass the base rules reach the cascade, and a rule only those that the rules before
+    it leave: the next rule is always the one with most rejections per second among the texts left.
+    """
+    left = [(seconds, rejected) for failed, seconds, rejected in trials if not failed]
+    waiting, found = list(range(len(rules))), []
+    while waiting:
+        costs = {r: max(1e-9, sum(seconds[r] for seconds, _ in left)) / max(1, len(left)) for r in waiting}
+        shares = {r: (sum(rejected[r] for _, rejected in left) + 1) / (len(left) + 2) for r in waiting}
+        best = max(waiting, key=lambda r: shares[r] / costs[r])
+        found.append((rules[best], costs[best], shares[best]))
+        waiting.remove(best)
+        left = [x for x in left if not x[1][best]]
+    return found
+
+
+def trials(docs: DataFrame, id_column: str, text_column: str, rules: tuple[Rule, ...] = RULES, rows: int = SAMPLE_ROWS) -> list[tuple[bool, list[float], list[bool]]]:
+    """Trials of the sampled texts, made by tasks: only numbers, of at most `rows` texts, reach the driver."""
+    chosen = least_hashed(docs.select(id_column), id_column, rows)
+    # The chosen ids are at most `rows` values: a bounded broadcast. A repeated id is tried with one of its texts.
+    one = docs.select(id_column, text_column).join(F.broadcast(chosen), id_column).groupBy(id_column).agg(F.first(text_column).alias(text_column))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            failed, seconds, rejected = zip(*(trial(text, rules) for text in to_bytes(batch.column(0)))) if batch.num_rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(failed, pa.bool_()), pa.array(seconds, pa.list_(pa.float64())), pa.array(rejected, pa.list_(pa.bool_()))],
+                names=["failed", "seconds", "rejected"],
+            )
+
+    found = one.select(text_column).mapInArrow(task, "failed boolean, seconds array<double>, rejected array<boolean>")
+    return [(row.failed, row.seconds, row.rejected) for row in found.collect()]
 
 
 def judge(
@@ -142,7 +173,7 @@ def judge(
     `rejected_by` names the first rule in the estimated order that rejects the text ("base" for the
     base rules), so it may differ between runs; `kept` does not.
     """
-    ordered = tuple(rule for rule, _, _ in estimate(sample(docs, id_column, text_column, sample_rows), rules))
+    ordered = tuple(rule for rule, _, _ in order(trials(docs, id_column, text_column, rules, sample_rows), rules))
     docs = docs.select(id_column, text_column)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,6 +10,7 @@ from collections import Counter
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from souklake.llm import bpe, decontaminate, html_text, quality_model, quality_rules, secrets, shards
 
@@ -148,12 +149,62 @@ def test_quality_rules(spark):
     assert quality_rules.judge(frame(spark, [], "kept")).collect() == []
 
 
-def test_rule_order_does_not_change_verdicts():
-    texts = [(x or "").encode() for _, x, _ in ODD]
-    ordered = quality_rules.estimate(texts)
-    assert {rule.name for rule, _, _ in ordered} == {rule.name for rule in quality_rules.RULES}
-    worth = [share / cost for _, cost, share in ordered]
-    assert worth == sorted(worth, reverse=True)
+def plainly_kept(text):
+    """The rules over characters and lists, in no order."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    chars = sum(map(len, words))
+    upper, lower = len(re.findall("[A-Z]", text)), len(re.findall("[a-z]", text))
+    lettered = sum(bool(re.search(r"[A-Za-z\u0080-\U0010ffff]", word)) for word in words)
+    ends = sum(line.rstrip(" \t\n\v\f\r").endswith(("...", "…")) for line in lines)
+    bullets = sum(line.lstrip(" \t\n\v\f\r").startswith(("-", "*", "•")) for line in lines)
+    return not (
+        10 * len(re.findall(r"[#*$%&|<>]", text)) > len(words)
+        or chars < 2 * len(words)
+        or chars > 12 * len(words)
+        or 10 * (len(lines) - len(set(lines))) > 3 * len(lines)
+        or 10 * lettered < 7 * len(words)
+        or (upper > 2 * lower and upper > chars // 2)
+        or 10 * ends > 3 * len(lines)
+        or 10 * bullets > 9 * len(lines)
+    )
+
+
+def test_verdicts_are_those_of_plain_rules(spark):
+    draw = random.Random(6)
+    parts = ["word", "Été", "NOISE", "12", "#", "a", "incomprehensibilities", "…", "- item", "* item", "end..."]
+    texts = []
+    for _ in range(300):
+        weights = [draw.random() ** 3 for _ in parts]
+        lines = [" ".join(f"{draw.choices(parts, weights)[0]}{draw.choice(['', draw.randrange(99)])}" for _ in range(draw.randrange(1, 9))) for _ in range(30)]
+        texts.append("\n".join(lines + lines[: draw.choice([0, 0, 25])]))
+    found = {r.doc_id: r for r in quality_rules.judge(frame(spark, [(i, x, "x") for i, x in enumerate(texts)])).collect()}
+    want = {i: not found[i].base_failed and plainly_kept(x) for i, x in enumerate(texts)}
+    assert {i: r.kept for i, r in found.items()} == want
+    assert {r.rejected_by for r in found.values()} > {None, "base", "symbols"} and len(set(want.values())) == 2
+
+
+def test_rule_order_follows_what_is_left():
+    names = [quality_rules.Rule(name, None) for name in ("dear", "twin", "rare")]
+    # "twin" rejects what "dear" does at half the cost; after it "dear" rejects nothing, "rare" something.
+    trials = [(False, [2.0, 1.0, 1.0], [True, True, False])] * 6 + [(False, [2.0, 1.0, 1.0], [False, False, i < 2]) for i in range(6)]
+    trials += [(True, [0.0, 9.0, 9.0], [True, False, False])] * 50  # base-failed: never reach the cascade
+    assert [rule.name for rule, _, _ in quality_rules.order(trials, tuple(names))] == ["twin", "rare", "dear"]
+    assert len(quality_rules.order([])) == len(quality_rules.RULES)
+
+
+def test_samples_are_bounded(spark):
+    """Neither a hot id nor null ids nor labels of no document add to what reaches the driver."""
+    rows = [(1, f"text {i}", "x") for i in range(400)] + [(None, "null", "x")] * 50 + [(i, "other", "x") for i in range(2, 40)]
+    docs = frame(spark, rows)
+    assert 0 < len(quality_rules.trials(docs, "doc_id", "text", rows=8)) <= 8
+    assert len(quality_rules.trials(docs, "doc_id", "text")) == 39
+    assert quality_rules.trials(docs.limit(0), "doc_id", "text") == []
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 1000)] + [(1, 0)] * 9 + [(None, 1)], "doc_id long, quality int")
+    found = quality_model.examples(docs, labels, "quality", F.lit(True), 30, "doc_id", "text").collect()
+    assert len(found) == 30
+    everything = quality_model.examples(docs, labels, "quality", F.lit(True), 500, "doc_id", "text").collect()
+    assert sorted((r.doc_id, r.label) for r in everything) == sorted([(1, 0.0), *((i, float(i % 2)) for i in range(1, 40))])
 
 
 def test_secrets(spark):
