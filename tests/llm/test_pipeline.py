@@ -28,7 +28,7 @@ def test_pipeline(spark):
     for _ in range(5):
         for a in texts:
             for b in texts:
-                if sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
                     group[b] = min(group[b], group[a])
     kept = {d for d in texts if group[d] == d}
     patterns = {p for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect() for p in decontaminate.windows(r.text.encode())}
