@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and is written as
 Parquet and read again. All but the last return the columns of documents.
+
+Null and empty texts have no words: the classifier judges them by their structure, no stage links
+them or finds anything in them. Rows without id pass every stage as documents of their own. Of rows
+with one id the near-duplicate stage keeps one. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -21,8 +25,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each near-duplicate group."""
-    return minhash.without_duplicates(docs)
+    """Keeps the document with the smallest id of each group linked by a similarity of 0.8 or more."""
+    return minhash.without_duplicates(docs, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
