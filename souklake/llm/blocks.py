@@ -73,12 +73,12 @@ def width_bits(number: float, least: int = 16) -> int:
 
 
 class Block:
-    """Documents of one block, in order of their id; documents without id come last."""
+    """Documents of one block, in order of their id and text; documents without id come last."""
 
     def __init__(self, table: pa.Table, told: dict):
         ids = [NO_ID if x is None else x for x in table.column("id").to_pylist()]
-        order = sorted(range(len(ids)), key=ids.__getitem__)
         texts = to_bytes(table.column("text"))
+        order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
         self.ids = np.array([ids[i] for i in order], np.int64)
         self.texts = [texts[i] for i in order]
         #: Documents whose whole text is in a document with a smaller id.
@@ -147,12 +147,18 @@ def ask(texts: DataFrame, told: DataFrame, function: Callable[[Block, dict], lis
     return texts.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(one, "shard int, block int, data binary")
 
 
+def note(block: int) -> int:
+    """Shard of what a block keeps for itself: it comes back as it is with the answers."""
+    return -1 - block
+
+
 def answer(asked: DataFrame, kind: str, function: Callable[[list[bytes]], list[bytes | None]]) -> DataFrame:
     """(block, kind, shard, data): per shard, an answer to each block (None: nothing to tell)."""
 
     def one(key: tuple, table: pa.Table) -> pa.Table:
         blocks, data = table.column("block").to_pylist(), table.column("data").to_pylist()
-        kept = [(block, x) for block, x in zip(blocks, function(data)) if x is not None]
+        answers = data if key[0].as_py() < 0 else function(data)
+        kept = [(block, x) for block, x in zip(blocks, answers) if x is not None]
         return _answers([x[0] for x in kept], kind, [key[0].as_py()] * len(kept), [x[1] for x in kept])
 
     return asked.groupBy("shard").applyInArrow(one, TOLD)

@@ -8,10 +8,11 @@ takes both to a covered residue.
    or more mark the suffixes before them as candidates. All others are unique.
 2. Buckets: a candidate goes to a suffix bucket by the least hash of the 16-byte strings in its WIDTH
    bytes; neighbours with one bucket travel as one fragment of text, once per block of documents.
-3. A task sorts the suffixes of its bucket by 16 bytes. For ties, ranks of the samples of a cover of 7
-   are computed first; then one inner bucket of tied suffixes at a time is resolved by sample ranks: a
-   suffix's place is the number of smaller suffixes of each residue, counted at the shift that both
-   residues share. Equal strings are then neighbours, compared in full.
+3. A task folds fragments that several blocks sent, leaves out suffixes whose string's hash is in a
+   cell of its own (they are unique), and sorts the others by 16 bytes. For ties, ranks of the samples
+   of a cover of 7 are computed first; then one inner bucket of tied suffixes at a time is resolved by
+   sample ranks: a suffix's place is the number of smaller suffixes of each residue, counted at the
+   shift that both residues share. Equal strings are then neighbours, compared in full.
 
 Bytes inside a string of WIDTH bytes that also starts in a document with a smaller id are removed;
 strings are judged on the input and do not cross documents. Null texts are empty. Documents with one
@@ -52,13 +53,6 @@ def string_hashes(sums: np.ndarray, starts: np.ndarray, width: int) -> np.ndarra
     return mix((sums[starts + width] - sums[starts]) * down[starts])
 
 
-class Fragment:
-    __slots__ = ("bucket", "least", "number")
-
-    def __init__(self, bucket: int, least: int, number: int):
-        self.bucket, self.least, self.number = bucket, least, number
-
-
 class Plan:
     def __init__(self, size: int, width: int):
         if width < SAMPLE_PERIOD + GRAM:
@@ -112,55 +106,50 @@ class Plan:
         lasts = np.concatenate((cuts, [len(wanted)])) - 1
         return list(zip(bucket[firsts].tolist(), wanted[firsts].tolist(), (wanted[lasts] + 1).tolist()))
 
-    def fragments(self, block: B.Block, told: dict) -> tuple[dict[int, dict[bytes, Fragment]], list[tuple[int, int, Fragment, int]]]:
-        """Fragments by bucket, each once with the smallest id that has it, and their occurrences."""
+    def request(self, block: B.Block, told: dict) -> list[tuple[int, bytes]]:
+        """Fragments by bucket, each once with the smallest id that has it; the block notes where they occur."""
         full = B.full_cells(told, "sample", self.bits, self.shard_bits)
-        by: dict[int, dict[bytes, Fragment]] = {}
-        found = []
-        for i in block.open:
+        by: dict[int, dict[bytes, list[int]]] = {}
+        owners, firsts, places = [], [], []
+        for i in block.open:  # in order of ids: the first occurrence has the smallest
             text, own = block.texts[i], int(block.ids[i])
             for bucket, first, end in self.pieces(text, full):
                 held = by.setdefault(bucket, {})
-                data = text[first : end + self.width - 1]
-                fragment = held.get(data)
-                if fragment is None:
-                    fragment = held[data] = Fragment(bucket, own, len(held))
-                found.append((i, first, fragment, end - first))
-        return by, found
-
-    def request(self, block: B.Block, told: dict) -> list[tuple[int, bytes]]:
-        by, _ = self.fragments(block, told)
-        return [
-            (
-                bucket,
-                B.bundle(
-                    [
-                        B.pack(np.array([len(data) for data in held], np.uint32)),
-                        B.pack(np.array([fragment.least for fragment in held.values()], np.int64)),
-                        B.pack(np.frombuffer(b"".join(held), np.uint8)),
-                    ]
-                ),
-            )
-            for bucket, held in by.items()
-        ]
+                place = held.setdefault(text[first : end + self.width - 1], [own, 0])
+                owners.append(i)
+                firsts.append(first)
+                places.append(place)
+        rows, at = [], 0
+        for bucket, held in by.items():
+            least = B.pack(np.array([place[0] for place in held.values()], np.int64))
+            lengths = B.pack(np.array([len(data) for data in held], np.uint32))
+            rows.append((bucket, B.bundle([lengths, least, B.pack(np.frombuffer(b"".join(held), np.uint8))])))
+            for number, place in enumerate(held.values(), at):
+                place[1] = number
+            at += len(held)
+        every = [(bucket, len(data) - self.width + 1, place[0]) for bucket, held in by.items() for data, place in held.items()]
+        columns = [*(np.array([x[c] for x in every], np.int64) for c in range(3)), np.array(owners, np.int64), np.array(firsts, np.int64), np.array([place[1] for place in places], np.int64)]
+        return [*rows, (B.note(block.number), B.bundle([B.pack(column) for column in columns]))]
 
     def sort(self, data: list[bytes]) -> list[bytes | None]:
         return sort_bucket(data, self.width)
 
     def result(self, block: B.Block, told: dict) -> pa.Table:
-        by, found = self.fragments(block, told)
-        bits: dict[int, list[np.ndarray]] = {}
-        for bucket, held in by.items():
-            sizes = np.array([len(data) - self.width + 1 for data in held])
-            if ("sort", bucket) in told:
-                smaller = np.unpackbits(np.frombuffer(told["sort", bucket], np.uint8), count=int(sizes.sum())).astype(bool)
-                bits[bucket] = np.split(smaller, np.cumsum(sizes)[:-1])
+        noted = B.unbundle(told["sort", B.note(block.number)])
+        bucket, size, least, owner, first, number = (B.unpack(column, np.int64) for column in noted)
+        # Bits of all fragments, bucket by bucket in the order of the note.
+        bits = np.zeros(int(size.sum()), bool)
+        starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+        offset = np.cumsum(size) - size
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)]):
+            found = told.get(("sort", int(bucket[a])))
+            if found is not None:
+                count = int(size[a:b].sum())
+                bits[offset[a] : offset[a] + count] = np.unpackbits(np.frombuffer(found, np.uint8), count=count).astype(bool)
         # Removed suffixes of all occurrences at once: whole fragments under a larger id, else by bit.
-        owner, first, count = (np.array(column, np.int64) for column in ([x[0] for x in found], [x[1] for x in found], [x[3] for x in found]))
-        whole = block.ids[owner] > np.array([x[2].least for x in found], np.int64)
+        count = size[number]
         steps = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        flags = [np.ones(n, bool) if all_of else bits[x.bucket][x.number] if x.bucket in bits else np.zeros(n, bool) for all_of, (_, _, x, n) in zip(whole.tolist(), found)]
-        gone = np.concatenate([np.zeros(0, bool), *flags])
+        gone = np.repeat(block.ids[owner] > least[number], count) | bits[np.repeat(offset[number], count) + steps]
         place, owner = (np.repeat(first, count) + steps)[gone], np.repeat(owner, count)[gone]
         cuts = np.searchsorted(owner, np.arange(len(block.ids) + 1))
         rows = []
@@ -198,11 +187,28 @@ def sort_bucket(data: list[bytes], width: int) -> list[bytes | None]:
     lengths = np.concatenate(sizes)
     owners = np.concatenate([B.unpack(part[1], np.int64) for part in parts])
     buffer = np.concatenate([*(B.unpack(part[2], np.uint8) for part in parts), np.zeros(width + 2 * SORT_PERIOD + 8, np.uint8)])
+    del parts
     starts = np.cumsum(lengths) - lengths
     counts = lengths - width + 1
-    firsts = np.cumsum(counts) - counts
-    suffixes = np.repeat(starts - firsts, counts) + np.arange(counts.sum())
-    least = np.repeat(owners, counts)
+
+    # A fragment that several blocks sent is sorted once, under its smallest id.
+    whole, numbers = buffer.tobytes(), {}
+    one = np.array([numbers.setdefault(whole[a : a + n], len(numbers)) for a, n in zip(starts.tolist(), lengths.tolist())], np.int64)
+    del whole, numbers
+    lead = np.unique(one, return_index=True)[1]
+    lowest = np.full(len(lead), B.NO_ID)
+    np.minimum.at(lowest, one, owners)
+    sorted_counts = counts[lead]
+    firsts = np.cumsum(sorted_counts) - sorted_counts
+    every = np.repeat(starts[lead] - firsts, sorted_counts) + np.arange(sorted_counts.sum())
+
+    # A suffix alone in the cell of its string's hash is unique; equal strings share a cell.
+    cells = B.width_bits(4 * len(every))
+    cell = (string_hashes(prefix_sums(buffer), every, width) >> np.uint64(64 - cells)).astype(np.int64)
+    met = np.flatnonzero(np.bincount(cell, minlength=1 << cells)[cell] > 1)
+    del cell
+    suffixes, least = every[met], np.repeat(lowest, sorted_counts)[met]
+    del every
 
     # Suffixes alone with their first bytes are sorted already; only ties need ranks.
     head = _words(buffer, suffixes, HEAD)
@@ -239,6 +245,10 @@ def sort_bucket(data: list[bytes], width: int) -> list[bytes | None]:
             first[1:] = np.logical_or.reduce([word[1:] != word[:-1] for word in _words(buffer, suffixes[at], width)])
             smallest = np.minimum.reduceat(least[at], np.flatnonzero(first))
             smaller[at] = smallest[np.cumsum(first) - 1] < least[at]
+    found = np.zeros(int(sorted_counts.sum()), bool)
+    found[met] = smaller
+    steps = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    smaller = found[np.repeat(firsts[one], counts) + steps] | np.repeat(owners > lowest[one], counts)
     ends = np.cumsum([int((size - width + 1).sum()) for size in sizes])[:-1]
     return [np.packbits(bits).tobytes() if bits.any() else None for bits in np.split(smaller, ends)]
 

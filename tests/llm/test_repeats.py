@@ -94,9 +94,12 @@ def test_bucket_in_many_inner_buckets(monkeypatch):
     """Suffix classes do not depend on how a bucket is cut."""
     draw = random.Random(9)
     text = bytes(draw.choices(b"ab", k=3000))
-    fragments = [text[i : i + 120] for i in range(0, 2800, 37)] * 2
+    fragments = [text[i : i + 120] for i in range(0, 2800, 37)] * 2 + [bytes(draw.choices(range(256), k=60))]
     sizes, owners = np.array([len(x) for x in fragments], np.uint32), np.arange(len(fragments), dtype=np.int64)
-    data = [suffixes.B.bundle([suffixes.B.pack(sizes), suffixes.B.pack(owners), suffixes.B.pack(np.frombuffer(b"".join(fragments), np.uint8))])]
+
+    def sent(part):
+        return suffixes.B.bundle([suffixes.B.pack(sizes[part]), suffixes.B.pack(owners[part]), suffixes.B.pack(np.frombuffer(b"".join(fragments[part]), np.uint8))])
+
     first = {}
     for owner, x in enumerate(fragments):
         for i in range(len(x) - 49):
@@ -104,7 +107,13 @@ def test_bucket_in_many_inner_buckets(monkeypatch):
     want = [first[x[i : i + 50]] < owner for owner, x in enumerate(fragments) for i in range(len(x) - 49)]
     for size in (7, 500, 1 << 20):
         monkeypatch.setattr(suffixes, "INNER_SUFFIXES", size)
-        assert np.unpackbits(np.frombuffer(suffixes.sort_bucket(data, 50)[0], np.uint8), count=len(want)).astype(bool).tolist() == want
+        for cut in (0, 90):  # one block; two blocks that share fragments
+            parts = [part for part in (slice(0, cut), slice(cut, len(fragments))) if fragments[part]]
+            found = []
+            for part, bits in zip(parts, suffixes.sort_bucket([sent(part) for part in parts], 50)):
+                count = int((sizes[part].astype(int) - 49).sum())
+                found += np.unpackbits(np.frombuffer(bits, np.uint8), count=count).astype(bool).tolist() if bits else [False] * count
+            assert found == want
 
 
 def shingle_set(text):
