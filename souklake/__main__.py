@@ -12,7 +12,7 @@ from souklake.operators import silver, synth
 from souklake.plans import batch, history, publish, validate
 from souklake.schemas import SCHEMAS, TABLES, Domain
 from souklake.session import session
-from souklake.sources.snapshot import exported_snapshot, jdbc_snapshot
+from souklake.sources.snapshot import exported_footers, exported_schemas, exported_snapshot, jdbc_snapshot
 from souklake.sources.tables import path_exists, write_table
 from souklake.streaming.landing import POLL, drain, land, stop_when_idle
 from souklake.streaming.replay import State, replay
@@ -87,7 +87,13 @@ def _replay(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
 def _check(spark: SparkSession, args: argparse.Namespace) -> dict[str, int | str]:
     if args.phase == "setup":
         snapshot = _snapshot(spark, args)
-        rules = validate.setup_rules(spark, {table: snapshot(table) for table in TABLES})
+        exported = args.snapshot and not args.state and not args.jdbc_url
+        rules = validate.setup_rules(
+            spark,
+            {table: snapshot(table) for table in TABLES},
+            stored=exported_schemas(spark, args.snapshot) if exported else None,
+            footers=exported_footers(spark, args.snapshot) if exported else None,
+        )
     elif args.phase == "history":
         rules = validate.history_rules(spark, args.bronze)
     elif args.phase == "cdc":

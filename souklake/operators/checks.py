@@ -88,6 +88,19 @@ def schema_rules(
     return spark.createDataFrame(found, "rule string, violations long")
 
 
+def file_rules(footers: dict[str, DataFrame], wanted: dict[str, StructType] = SCHEMAS) -> DataFrame:
+    """Per table, the files whose own columns are not the table's, of (path, columns, rows) a file.
+
+    The merged schema of `schema_rules` shows a column as soon as one file has it.
+    """
+    return union(
+        [
+            tally(files, {f"{table} files": ~F.col("columns").eqNullSafe(F.array(*[F.lit(name) for name in wanted[table].names]))})
+            for table, files in footers.items()
+        ]
+    )
+
+
 def _universe_number(table: str, domain: Domain) -> Column:
     """Number of a dimension row in the generated domain, NULL of a key that no number has."""
     if table == "products":

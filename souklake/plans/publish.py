@@ -18,6 +18,7 @@ from souklake.schemas import GOLD_SCHEMAS, SCHEMAS, SILVER_VIEWS
 from souklake.sources.tables import (
     create_once,
     delete_path,
+    file_footers,
     list_names,
     path_exists,
     read_records,
@@ -106,6 +107,12 @@ def stored_schemas(spark: SparkSession, lake: str, layer: str, batch_id: str) ->
     return {r["table"]: stored_schema(spark, r["paths"]) for r in records}
 
 
+def stored_footers(spark: SparkSession, lake: str, layer: str, batch_id: str) -> dict[str, DataFrame]:
+    """Footers of the files of a layer, those of adopted history too."""
+    records = table_records(spark, lake, batch_id).where(F.col("layer") == layer).collect()
+    return {r["table"]: file_footers(spark, r["paths"]) for r in records}
+
+
 def register_views(spark: SparkSession, lake: str) -> str:
     """Temporary views of the current batch (silver_* and the gold names); returns its id."""
     batch_id = current_batch(spark, lake)

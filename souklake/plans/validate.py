@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from souklake.operators import checks
 from souklake.plans import publish
@@ -28,14 +29,23 @@ def _constant(spark: SparkSession, found: dict[str, int]) -> DataFrame:
 
 
 def setup_rules(
-    spark: SparkSession, tables: dict[str, DataFrame], domain: Domain = Domain()
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    domain: Domain = Domain(),
+    stored: dict[str, StructType] | None = None,
+    footers: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Operational state: schema, entity universe, live ids, relations between facts."""
+    """Operational state: schema, entity universe, live ids, relations between facts.
+
+    `stored` and `footers` are what the files of an exported copy hold. Tables read over JDBC show
+    the database's own schema, so they need neither.
+    """
     dimensions = {table: tables[table] for table in DIMENSIONS}
     transactions = tables["transactions"]
     return checks.union(
         [
-            checks.schema_rules(spark, {table: frame.schema for table, frame in tables.items()}),
+            checks.schema_rules(spark, stored or {table: frame.schema for table, frame in tables.items()}),
+            *([checks.file_rules(footers)] if footers else []),
             checks.universe_rules(spark, dimensions, domain),
             checks.format_rules(tables, kinds=("live",)),
             checks.item_vendor_rule(tables["transaction_products"], transactions),
@@ -82,6 +92,7 @@ def history_rules(spark: SparkSession, root: str, domain: Domain = Domain()) ->
         [
             manifest_rules(spark, root),
             checks.schema_rules(spark, bronze.stored_schemas(spark, root)),
+            checks.file_rules(bronze.segment_footers(spark, root)),
             checks.cardinality_rules(counts, domain),
             checks.universe_rules(spark, {t: tables[t] for t in DIMENSIONS}, domain),
             checks.format_rules(tables, kinds=("history",), history_rows=rows),
@@ -137,6 +148,7 @@ def silver_rules(
     return checks.union(
         [
             checks.schema_rules(spark, publish.stored_schemas(spark, lake, "silver", batch_id)),
+            checks.file_rules(publish.stored_footers(spark, lake, "silver", batch_id)),
             checks.tally(
                 compared,
                 {
@@ -166,7 +178,8 @@ def gold_rules(spark: SparkSession, lake: str) -> DataFrame:
     inside = F.exists("paths", lambda p: F.contains(p, F.lit(f"{publish.batch_root(lake, batch_id)}/")))
     other = ~F.col("batch_id").eqNullSafe(F.lit(batch_id)) | ((F.col("layer") == "gold") & ~inside)
     one = checks.tally(records, {"one batch": F.coalesce(other, F.lit(True))})
-    return checks.union([_constant(spark, found), checks.count_rows("staged batches", staged), *empty, one])
+    files = checks.file_rules(publish.stored_footers(spark, lake, "gold", batch_id), GOLD_SCHEMAS)
+    return checks.union([_constant(spark, found), files, checks.count_rows("staged batches", staged), *empty, one])
 
 
 def batch_rules(

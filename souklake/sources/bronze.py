@@ -16,6 +16,7 @@ from souklake.schemas import SCHEMAS, TABLES
 from souklake.sources.tables import (
     CODEC,
     append_record,
+    file_footers,
     path_exists,
     read_records,
     read_table,
@@ -135,6 +136,13 @@ def stored_schemas(spark: SparkSession, root: str) -> dict[str, StructType]:
     return {table: stored_schema(spark, paths) for table, paths in found.items() if paths}
 
 
+def segment_footers(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Footers of the files of each table's finished segments."""
+    ledger = read_ledger(spark, root)
+    found = {table: bronze_paths(ledger, table) for table in TABLES}
+    return {table: file_footers(spark, paths) for table, paths in found.items() if paths}
+
+
 def bronze_paths(ledger: DataFrame, table: str) -> list[str]:
     """Folders of a table's finished segments: a few per table, however many files they hold."""
     rows = ledger.where(F.col("table") == table).select("path").distinct().orderBy("path").collect()

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from souklake.schemas import PRIMARY_KEYS, SCHEMAS
-from souklake.sources.tables import read_table
+from souklake.schemas import PRIMARY_KEYS, SCHEMAS, TABLES
+from souklake.sources.tables import file_footers, path_exists, read_table, stored_schema
 
 
 def quoting(spark: SparkSession, url: str) -> Callable[[str], str]:
@@ -34,6 +35,16 @@ def jdbc_snapshot(
     return stored.select(*SCHEMAS[table].names)
 
 
+def exported_schemas(spark: SparkSession, root: str) -> dict[str, StructType]:
+    """Columns of an exported copy as its files hold them; a table without a folder is left out."""
+    return {table: stored_schema(spark, f"{root}/{table}") for table in TABLES if path_exists(spark, f"{root}/{table}")}
+
+
+def exported_footers(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Footers of the files of an exported copy."""
+    return {table: file_footers(spark, f"{root}/{table}") for table in TABLES if path_exists(spark, f"{root}/{table}")}
+
+
 def exported_snapshot(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A table of one exported, mutually consistent copy (`<root>/<table>/*.parquet`)."""
     return read_table(spark, SCHEMAS[table], f"{root}/{table}")

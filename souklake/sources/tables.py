@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +38,55 @@ def write_table(frame: DataFrame, path: str, max_records: int | None = None) ->
     return seen.get["rows"]
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the jobs that run inside."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def write_packed(
+    frame: DataFrame, folder: str, order: Sequence[str] = (), max_records: int | None = None, target: int = FILE_TARGET_BYTES
+) -> tuple[int, str]:
+    """Write a table below a folder in files of about the target size; returns its rows and where it lies.
+
+    What the tasks wrote stays if it is at most twice as many files as needed, none twice too large.
+    Otherwise it is read again with scan tasks of the target size and written one file a task: the
+    scan packs small files and cuts large ones by their bytes, so no row is shuffled, and the first
+    files go. Rows are sorted within each file. An empty table is one file without rows.
+    """
+    spark, parts = frame.sparkSession, f"{folder}/parts"
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.sortWithinPartitions(*order) if order else rows
+
+    count = write_table(placed(frame), parts, max_records)
+    found = stored_files(spark, parts).agg(
+        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"), F.max("length").alias("longest")
+    ).first()
+    if found["files"] <= 2 * max(1, math.ceil(found["bytes"] / target)) and (found["longest"] or 0) <= 2 * target:
+        return count, parts
+    per_file = max(1, 5 * target * count // (4 * max(1, found["bytes"])))
+    packing = {
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.files.openCostInBytes": "0",
+        "spark.sql.files.minPartitionNum": "1",
+    }
+    with settings(spark, packing):
+        write_table(placed(read_table(spark, frame.schema, parts)), f"{folder}/packed", per_file)
+    delete_path(spark, parts)
+    return count, f"{folder}/packed"
+
+
 def write_partitions(frame: DataFrame, path: str, *columns: str, keep_others: bool = False) -> None:
     """Write a Parquet table partitioned by columns, small partitions in one file and large ones split.
 
@@ -72,19 +126,57 @@ def stored_schema(spark: SparkSession, paths: str | Sequence[str]) -> StructType
     )
 
 
-def stored_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """(path, length) of the files below a path; reads the listing, not the files."""
+def stored_files(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.parquet") -> DataFrame:
+    """(path, length) of the files below the paths; reads the listing, not the files."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
-        .load(path)
+        .load(paths)
         .select("path", "length")
     )
 
 
+def _summary(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target)
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
-    return stored_files(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
+    """Bytes of all files below a path, from the file system's summary; no task runs."""
+    return _summary(spark, path).getLength()
+
+
+#: Files whose footers one task reads.
+FOOTERS_PER_TASK = 1_000
+
+
+def file_footers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(path, columns, rows) of every Parquet file below the paths, each from its own footer, read by tasks.
+
+    A merged schema hides a file that lacks a column: it reads as NULL there. Names are in the order
+    of the file; files that are no Parquet fail the job.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            named = batch.column(0).to_pylist()
+            footers = []
+            for name in named:
+                local = name.startswith("file:")  # such a name may hold characters that no URI has
+                system, place = (fs.LocalFileSystem(), name[5:]) if local else fs.FileSystem.from_uri(name)
+                with system.open_input_file(place) as file:
+                    footers.append(pq.ParquetFile(file).metadata)
+            columns = [footer.schema.to_arrow_schema().names for footer in footers]
+            rows = [footer.num_rows for footer in footers]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(columns, pa.list_(pa.string())), pa.array(rows, pa.int64())], names=["path", "columns", "rows"]
+            )
+
+    tasks = max(spark.sparkContext.defaultParallelism, sum(_summary(spark, path).getFileCount() for path in paths) // FOOTERS_PER_TASK)
+    return stored_files(spark, paths).select("path").coalesce(tasks).mapInArrow(task, "path string, columns array<string>, rows long")
 
 
 def footer_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:

@@ -2,18 +2,20 @@
 
 import glob
 import json
+import math
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from souklake.functions import values
 from souklake.operators import checks, synth
 from souklake.plans import batch, history, publish, validate
-from souklake.schemas import DIMENSIONS, FACTS, SCHEMAS, TABLES, Domain
+from souklake.schemas import DIMENSIONS, FACTS, GOLD_SCHEMAS, SCHEMAS, TABLES, Domain
 from souklake.sources import bronze
-from souklake.sources.snapshot import jdbc_buckets, quoting
-from souklake.sources.tables import read_table, write_table
+from souklake.sources.snapshot import exported_footers, exported_schemas, exported_snapshot, jdbc_buckets, quoting
+from souklake.sources.tables import file_footers, read_table, write_packed, write_table
 
 DOMAIN = Domain(markets=10, vendors=40, buyers=150, reference_rows=400)
 BUDGET = 1_500_000
@@ -186,3 +188,72 @@ def test_files_follow_the_target_size(spark, tmp_path):
     files = glob.glob(f"{tmp_path}/transactions/*/*.parquet")
     assert done["bytes"] >= 600_000 and len(files) >= 6
     assert max(os.path.getsize(f) for f in files) < 130_000
+
+
+def without_column(path, column):
+    """Rewrite one stored file without one of its columns."""
+    table = pq.ParquetFile(path).read()
+    os.remove(os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.crc"))
+    pq.write_table(table.drop_columns([column]).replace_schema_metadata(None), path)  # Spark keeps the schema there too
+
+
+def one_file(folder):
+    return sorted(glob.glob(f"{folder}/**/*.parquet", recursive=True))[-1]
+
+
+def test_one_file_without_a_column_breaks_the_rules_of_every_layer(spark, snapshot, tmp_path):
+    bronze_root, lake, exported = (str(tmp_path / name) for name in ("bronze", "lake", "snapshot"))
+    history.build_history(spark, bronze_root, BUDGET // 3, DOMAIN, probe_rows=2_000)
+    batch.run_batch(spark, bronze_root, snapshot, lake)
+    for table in TABLES:
+        write_table(snapshot(table).repartition(2), f"{exported}/{table}")
+
+    def setup():
+        read = {table: exported_snapshot(spark, exported, table) for table in TABLES}
+        return broken(validate.setup_rules(spark, read, DOMAIN, exported_schemas(spark, exported), exported_footers(spark, exported)))
+
+    assert setup() == {} and broken(validate.gold_rules(spark, lake)) == {}
+    without_column(one_file(f"{exported}/vendors"), "SellerKey")
+    assert setup()["vendors files"] == 1
+    for left in glob.glob(f"{exported}/vendors/*.parquet"):  # the column gone in every file
+        if "SellerKey" in pq.ParquetFile(left).schema_arrow.names:
+            without_column(left, "SellerKey")
+    assert setup()["vendors columns"] == 1
+    without_column(one_file(f"{lake}/batches/*/gold/buyer_360"), GOLD_SCHEMAS["buyer_360"].names[-1])
+    assert broken(validate.gold_rules(spark, lake))["buyer_360 files"] == 1
+    without_column(one_file(f"{lake}/batches/*/silver/vendors"), "SellerKey")
+    damaged = broken(validate.silver_rules(spark, lake, counts(snapshot), bronze.read_manifest(spark, bronze_root)))
+    assert damaged["vendors files"] == 1
+    without_column(one_file(f"{bronze_root}/transactions"), "VendorLink")
+    assert broken(validate.history_rules(spark, bronze_root, DOMAIN))["transactions files"] == 1
+    with pytest.raises(batch.GateError, match="1 files of transactions.*VendorLink"):
+        batch.run_batch(spark, bronze_root, snapshot, lake)
+
+
+def test_footers_name_columns_and_rows_of_each_file(spark, tmp_path):
+    path = f"{tmp_path}/a folder"
+    spark.range(10).repartition(2).write.parquet(f"{path}/one")
+    spark.range(5).select("id", F.lit(1).alias("more")).coalesce(1).write.parquet(f"{path}/two")
+    found = file_footers(spark, [f"{path}/one", f"{path}/two"]).collect()
+    assert sorted((r.columns, r.rows) for r in found if r.rows)[-1] == (["id", "more"], 5)
+    assert sum(r.rows for r in found) == 15 and len({r.path for r in found}) == len(found)
+
+
+def test_stored_files_have_about_the_target_size(spark, tmp_path):
+    rows = spark.range(60_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("digest"))
+    target = 400_000
+    for name, tasks in (("small", 64), ("large", 1)):
+        count, path = write_packed(rows.repartition(tasks), f"{tmp_path}/{name}", ["id"], target=target)
+        sizes = [os.path.getsize(f) for f in glob.glob(f"{path}/*.parquet")]
+        assert count == 60_000 and path.endswith("packed") and not os.path.exists(f"{tmp_path}/{name}/parts")
+        if name == "small":  # packed; one row group cannot be cut by the scan, only by its records
+            assert len(sizes) <= 2 * math.ceil(sum(sizes) / target)
+        assert max(sizes) < 1.6 * target
+        stored = read_table(spark, rows.schema, path)
+        assert stored.exceptAll(rows).count() == 0 and stored.count() == 60_000
+        for file in glob.glob(f"{path}/*.parquet"):
+            ids = pq.read_table(file, columns=["id"]).column("id").to_pylist()
+            assert ids == sorted(ids)
+    assert write_packed(rows.repartition(2), f"{tmp_path}/fits", target=1 << 27)[1].endswith("parts")
+    assert write_packed(rows.limit(0), f"{tmp_path}/empty", target=target)[0] == 0
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(target)
