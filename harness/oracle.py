@@ -372,6 +372,9 @@ for _view in list(_TABLE_VIEWS.values())[4:]:
 
 ORACLE["row_counts"] = _counts({t: t for t in
     ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")})
+ORACLE["file_footers"] = "\nUNION ALL ".join(
+    f"""SELECT '{t}' AS "table", (SELECT string_agg(column_name, ',') FROM (DESCRIBE SELECT * FROM h_{v})) AS columns,
+       1::bigint AS layouts, count(*) AS rows FROM h_{v}""" for t, v in _TABLE_VIEWS.items())
 ORACLE["parquet_roundtrip"] = "SELECT * FROM f_transactions"
 ORACLE["snapshot_scan"] = "SELECT * FROM l_payments"
 ORACLE["scan_bronze"] = "SELECT * FROM h_items"

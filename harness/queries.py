@@ -681,6 +681,17 @@ def _(given: Given) -> DataFrame:
     return checks.schema_rules(given.spark, bronze.stored_schemas(given.spark, root))
 
 
+@query("file_footers")
+def _(given: Given) -> DataFrame:
+    """Per table of the bronze history: columns and rows as the footers of its files say, and their layouts."""
+    root, _ = published(given)
+    each = [files.select(F.lit(table).alias("table"), "columns", "rows") for table, files in bronze.segment_footers(given.spark, root).items()]
+    found = checks.union(each).withColumn("columns", F.array_join("columns", ","))
+    return found.groupBy("table").agg(
+        F.max("columns").alias("columns"), F.count_distinct("columns").alias("layouts"), F.sum("rows").alias("rows")
+    )
+
+
 @query("check_universe")
 def _(given: Given) -> DataFrame:
     tables = {table: history(given, table) for table in DIMENSIONS}
