@@ -15,6 +15,7 @@ Functions get numpy arrays and bytes and are run by Spark per block or shard.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import numpy as np
@@ -72,6 +73,11 @@ def width_bits(number: float, least: int = 16) -> int:
     return max(least, int(np.ceil(np.log2(max(1.0, number)))))
 
 
+def text_key(text: bytes) -> int:
+    """The first half of the key by which whole copies are found, as a signed integer."""
+    return int.from_bytes(hashlib.sha256(text).digest()[:8], "big", signed=True)
+
+
 class Block:
     """Documents of one block, in order of their id and text; documents without id come last."""
 
@@ -81,8 +87,10 @@ class Block:
         order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
         self.ids = np.array([ids[i] for i in order], np.int64)
         self.texts = [texts[i] for i in order]
-        #: Documents whose whole text is in a document with a smaller id.
-        self.copy = np.isin(self.ids, np.concatenate([np.zeros(0, np.int64), *(unpack(data, np.int64) for (kind, _), data in told.items() if kind == "copy")]))
+        #: Documents whose whole text is in a document with a smaller id; other texts of their ids are not.
+        copies = {pair for (kind, _), data in told.items() if kind == "copy" for pair in zip(*(unpack(part, np.int64).tolist() for part in unbundle(data)))}
+        named = {x for x, _ in copies}
+        self.copy = np.array([x in named and (x, text_key(text)) in copies for x, text in zip(self.ids.tolist(), self.texts)], bool)
         #: Documents whose repeats are looked for.
         self.open = [i for i, x in enumerate(self.ids) if x != NO_ID and not self.copy[i]]
         self.number = table.column("block")[0].as_py()
@@ -95,7 +103,7 @@ def sized(docs: DataFrame, text_column: str, block_bytes: int = BLOCK_BYTES) ->
 
 
 def blocked(docs: DataFrame, id_column: str, text_column: str, blocks: int) -> tuple[DataFrame, DataFrame]:
-    """(block, id, text) of the documents, and per block the ids of whole copies.
+    """(block, id, text) of the documents, and per block the ids and text keys of whole copies.
 
     Copies are found by the SHA-256 of the text: hashes are folded before their shuffle, and the join
     back splits hot hashes. The smallest id of equal texts stands for them all.
@@ -106,10 +114,11 @@ def blocked(docs: DataFrame, id_column: str, text_column: str, blocks: int) -> t
     first = hashed.groupBy("hash").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("hash", "first")
 
     def packed(key: tuple, table: pa.Table) -> pa.Table:
-        ids = np.unique(np.array(table.column("id").to_pylist(), np.int64))
-        return _answers(key[0].as_py(), "copy", [0], [pack(ids)])
+        ids = np.array(table.column("id").to_pylist(), np.int64)
+        keys = np.array([int.from_bytes(x[:8], "big", signed=True) for x in table.column("hash").to_pylist()], np.int64)
+        return _answers(key[0].as_py(), "copy", [0], [bundle([pack(ids), pack(keys)])])
 
-    copies = hashed.join(first, "hash").where("id > first").select("block", "id").groupBy("block").applyInArrow(packed, TOLD)
+    copies = hashed.join(first, "hash").where("id > first").select("block", "id", "hash").groupBy("block").applyInArrow(packed, TOLD)
     return texts, copies
 
 

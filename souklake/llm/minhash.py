@@ -20,8 +20,8 @@ With 24 bands of 4 places a pair of similarity 0.85 shares a band but for a chan
 g distinct near copies sends each set to g / chunk tasks; a chunk grows with the data up to
 `CHUNK_SHINGLES`, so that only groups beyond it are sent more often than the partitions need.
 
-Null and wordless texts have an empty set and stay alone. Repeated rows (same id) are one node; rows
-without id form no links and are their own component. Other columns are not read.
+Null and wordless texts have an empty set and stay alone. Ids are integers. Repeated rows (same id) are one
+node; different texts of an id are judged one by one. Rows without id form no links and are their own component. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -128,7 +128,8 @@ def links(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[
     cuts = np.cumsum(sizes)[:-1]
     tokens = [part[np.argsort(counts[part], kind="stable")] for part in np.split(inverse, cuts)]
     across = len(set(side.tolist())) > 1
-    index: dict[int, list[int]] = {}
+    # Per token, sets by what they are linked to already (and by side): a part that has the set is passed over whole.
+    index: dict[int, dict[tuple[int, int], list[int]]] = {}
     found = []
     for j in np.argsort(sizes, kind="stable").tolist():  # shorter sets first
         size = int(sizes[j])
@@ -137,17 +138,30 @@ def links(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[
         least = -(-percent * size // 100)
         seen: set[int] = set()
         for token in prefix:
-            for i in index.get(token, ()):
-                if i in seen or sizes[i] < least or (across and side[i] == side[j]):
+            parts = index.get(token)
+            if not parts:
+                continue
+            for key in [key for key in parts if root(key[0]) != key[0]]:
+                moved, now = parts.pop(key), (root(key[0]), key[1])
+                held = parts.get(now, [])
+                small, large = sorted((moved, held), key=len)
+                large += small
+                parts[now] = large
+            for (top, of), members in parts.items():
+                if root(top) == root(j) or (across and of == side[j]):
                     continue
-                seen.add(i)
-                if root(i) != root(j):
+                for i in members:
+                    if i in seen or sizes[i] < least:
+                        continue
+                    seen.add(i)
                     common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                     if 100 * common >= percent * (size + sizes[i] - common):
                         parent[root(j)] = root(i)
                         found.append((i, j))
+                        break
+        own = root(j), int(side[j])
         for token in prefix:
-            index.setdefault(token, []).append(j)
+            index.setdefault(token, {}).setdefault(own, []).append(j)
     return found
 
 
@@ -221,11 +235,12 @@ def duplicates(
 def without_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = 85, words: int = WORDS) -> DataFrame:
     """The rows, with all their columns, of one document per group: the one with the smallest id.
 
-    Of repeated rows (same id) one stays; rows without id stay.
+    Of repeated rows (same id and text) one stays; different texts of an id stay if one of them is to; rows
+    without id stay.
     """
     found = duplicates(docs, id_column, text_column, percent, words)
     kept = found.where(F.col("kept") & F.col(id_column).isNotNull()).select(id_column)
-    named = docs.where(F.col(id_column).isNotNull()).join(kept.hint("merge"), id_column, "left_semi").dropDuplicates([id_column])
+    named = docs.where(F.col(id_column).isNotNull()).join(kept.hint("merge"), id_column, "left_semi").dropDuplicates([id_column, text_column])
     return named.select(*docs.columns).unionByName(docs.where(F.col(id_column).isNull()))
 
 

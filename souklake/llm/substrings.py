@@ -11,8 +11,8 @@ The sketch has about 8 cells per window of the corpus in each row, whatever its
 brought together: a task holds one range of it, a block the overfull cells of its own windows.
 
 A word is removed if a window that covers it also starts in a document with a smaller id; windows are
-judged on the input. Null texts have no words. Documents with one id (repeated rows) do not remove
-each other's words. Rows without id neither remove nor lose words. Other columns are not read.
+judged on the input. Null texts have no words. Documents with one id (repeated rows, or
+different texts of an id, which must be an integer) do not remove each other's words. Rows without id neither remove nor lose words. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -141,10 +141,11 @@ def exact(data: list[bytes]) -> list[bytes | None]:
 
 
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256, kept) of each row; `kept` is the remaining text."""
+    """(id column, n_words, n_removed, kept_sha256, kept) of each row; `kept` is the remaining text."""
     size, count = B.sized(docs, text_column, block_bytes)
     plan = Plan(size, width)
     texts, copies = B.blocked(docs, id_column, text_column, count)
     told = copies.union(B.answer(B.ask(texts, copies, plan.sketch), "sketch", B.merge_cells))
     told = told.union(B.answer(B.ask(texts, told, plan.request), "exact", exact))
-    return B.finish(texts, told, plan.result, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+    found = B.finish(texts, told, plan.result, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+    return found.withColumnRenamed("doc_id", id_column)

@@ -300,12 +300,13 @@ def _inner_order(suffixes: np.ndarray, group: np.ndarray, rank: np.ndarray) -> n
 
 
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans) of each row; spans are removed [start, end) bytes."""
+    """(id column, n_bytes, n_removed, n_spans, kept_sha256, spans) of each row; spans are removed [start, end) bytes."""
     size, count = B.sized(docs, text_column, block_bytes)
     plan = Plan(size, width)
     texts, copies = B.blocked(docs, id_column, text_column, count)
     told = copies.union(B.answer(B.ask(texts, copies, plan.sample), "sample", B.merge_cells))
     told = told.union(B.answer(B.ask(texts, told, plan.request), "sort", plan.sort))
-    return B.finish(
+    found = B.finish(
         texts, told, plan.result, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:bigint,end:bigint>>"
     )
+    return found.withColumnRenamed("doc_id", id_column)

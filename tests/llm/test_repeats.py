@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -39,11 +40,10 @@ def rows():
 
 
 def brute(rows, unit):
-    texts = {d: (x or "").encode() for d, x, *_ in rows if d is not None}
     first = {}
     result = []
-    for d in sorted(texts):
-        parts = texts[d].split() if unit else texts[d]
+    for d, x in sorted((d, (x or "").encode()) for d, x, *_ in rows if d is not None):
+        parts = x.split() if unit else x
         for i in range(len(parts) - 49):
             first.setdefault(b" ".join(parts[i : i + 50]) if unit else parts[i : i + 50], d)
     for d, x, *_ in rows:
@@ -60,6 +60,16 @@ def brute(rows, unit):
     return sorted(result, key=repr)
 
 
+@pytest.mark.parametrize("operator, unit", [(substrings, 1), (suffixes, 0)])
+def test_texts_of_one_id_are_judged_by_themselves(spark, operator, unit):
+    one, two, three = (" ".join(f"{x}{i}" for i in range(80)) for x in ("abcdefgh", "é", "w"))
+    rows = [(1, one, None, None), (5, one, None, None), (5, two, None, None), (5, two, None, None), (3, three, None, None), (5, two + " " + three, None, None), (7, two, None, None)]
+    frame = spark.createDataFrame(rows, SCHEMA).withColumnRenamed("doc_id", "id")
+    found = operator.deduplicate(frame, id_column="id")
+    assert found.columns[0] == "id"
+    assert sorted((tuple(row) for row in found.drop("kept", "spans").collect()), key=repr) == brute(rows, unit)
+
+
 @pytest.mark.parametrize("size", [3_000, 1 << 30])
 @pytest.mark.parametrize("operator, unit", [(substrings, 1), (suffixes, 0)])
 def test_repeats_match_brute_force(spark, rows, operator, unit, size):
@@ -144,6 +154,49 @@ def test_near_duplicates_match_brute_force(spark, rows, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(d for d in sets if root(d) == d)
 
 
+def test_near_duplicates_with_texts_of_one_id(spark):
+    one, two = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    rows = [(1, one, "p", None), (5, one, "q", None), (5, two, "r", None), (5, two, "s", None), (9, one, "t", None)]
+    kept = minhash.without_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, one), (5, one), (5, two)]
+
+
+@pytest.mark.parametrize("sides", [1, 2])
+def test_links_of_many_near_copies(sides):
+    draw = np.random.default_rng(5)
+    base = np.unique(draw.integers(0, 1 << 40, 210).astype(np.uint64))[:200]
+    own = draw.integers(1 << 41, 1 << 42, (4000, 2)).astype(np.uint64)
+    sets = [np.unique(np.concatenate((np.delete(base, draw.integers(0, 200, 2)), extra))) for extra in own]
+    started = time.process_time()
+    found = minhash.links(sets, np.arange(4000) % sides, 85)
+    assert len(found) == 3999 and time.process_time() - started < 8
+    assert all(sides == 1 or (i + j) % 2 for i, j in found)
+
+
+def test_links_match_brute_force():
+    draw = np.random.default_rng(9)
+    for sides in (1, 2):
+        sets = []
+        for i in range(150):  # groups that grow together by way of members between them
+            start = draw.integers(0, 12) * 7
+            sets.append(np.unique(np.delete(np.arange(start, start + 60), draw.integers(0, 60, draw.integers(0, 6)))).astype(np.uint64))
+        side = np.arange(150) % sides
+        chained, plain = list(range(150)), list(range(150))
+
+        def root(parent, x):
+            return x if parent[x] == x else root(parent, parent[x])
+
+        for i, j in minhash.links(sets, side, 80):
+            chained[root(chained, i)] = root(chained, j)
+        for i in range(150):
+            for j in range(i):
+                common = len(np.intersect1d(sets[i], sets[j]))
+                if (sides == 1 or side[i] != side[j]) and 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common):
+                    plain[root(plain, i)] = root(plain, j)
+        same = [{(i, j) for i in range(150) for j in range(i) if root(p, i) == root(p, j)} for p in (chained, plain)]
+        assert same[0] == same[1] and 0 < len(same[0]) < 150 * 149 // 2
+
+
 def test_near_duplicates_of_empty_table(spark):
     assert minhash.duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
 
