@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from harness.fixtures import Given
+from harness.queries import history
 from souklake.operators import checks, gold, silver, synth
 from souklake.schemas import TABLES, Domain
+from souklake.sources.tables import spread
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -123,3 +125,23 @@ def test_universe_rules_shuffle_no_key(spark):
     assert exchanges and all("hashpartitioning(page" in line for line in exchanges)
     found = {r["rule"]: r["violations"] for r in rules.collect()}
     assert found == {"vendors missing": 1, "vendors unexpected": 3, "products missing": 0, "products unexpected": 0}
+
+
+def test_narrow_single_file_tables_are_dealt_to_tasks(spark, tmp_path):
+    """The scan of a small file is one task; what is derived from its rows must not be."""
+    keys = spark.range(100_000).selectExpr("id AS o_orderkey")
+    keys.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    events = spark.range(60_000).selectExpr(
+        "id AS event_id", "id % 7 AS user_id", "timestamp_ntz'2024-01-01 05:00:00' AS ts", "'click' AS event_type", "1.5D AS value"
+    )
+    events.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    given = Given(spark, str(tmp_path))
+    for frame, rows in ((history(given, "risk_analytics"), 100_000), (given.sessions(), 60_000), (given.changes(), 60_000)):
+        assert frame.rdd.getNumPartitions() >= 6
+        assert frame.count() == rows
+    assert history(given, "risk_analytics").select("TxnLink").distinct().count() == 100_000
+
+
+def test_spread_leaves_tiny_tables_alone(spark):
+    frame = spark.range(0, 25, 1, 1)
+    assert spread(frame, 25) is frame
