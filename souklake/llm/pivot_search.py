@@ -38,6 +38,8 @@ from .vectors import matrix
 PIVOTS, SAMPLE = 32, 1024
 #: Rows of a block, and block summaries of a page.
 CANDIDATES, QUESTIONS, PAGE = 4096, 256, 256
+#: Candidates of a block that are evaluated at once.
+STEP = 1024
 #: Candidate blocks that a query block meets first.
 SEEDS = 2
 
@@ -216,36 +218,42 @@ def _met(pairs: DataFrame, asked: DataFrame, blocks: DataFrame, space: _Space, k
 
 
 def _search(space: _Space, pair: dict, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Elimination inside one pair of blocks: query number, score and id of all that may count."""
+    """Elimination inside one pair of blocks: query number, score and id of all that may count.
+
+    Candidates come in the order of their bound against the whole query block, STEP at a time. A step
+    is one product with the queries that its best bound can still serve.
+    """
     q, x = _unpacked(pair["vectors"], pair["n"]), _unpacked(pair["theirs"], pair["m"])
     mine, theirs = space.table(q, queries=True), space.table(x)
-    ids, cuts = np.array(pair["ids"], np.int64), np.array(pair["cuts"])
-    widths, norms = np.diff(cuts), (q * q).sum(1)
-    to_beat = {entry["at"]: entry["score"] for entry in pair["to_beat"] or []}
+    ids, cuts, norms = np.array(pair["ids"], np.int64), np.array(pair["cuts"]), (q * q).sum(1)
+    bars = np.full(len(q), -np.inf)
+    for entry in pair["to_beat"] or []:
+        bars[entry["at"]] = entry["score"]
+    low, high = mine.min(1)[:, None], mine.max(1)[:, None]
+    apart = np.maximum(np.maximum(theirs - high, low - theirs).max(0), 0)
+    order = np.argsort(apart, kind="stable")
+    tops = np.full((len(q), keep), -np.inf)
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for at in range(len(q)):
-        bar = to_beat.get(at, -np.inf)
-        chance = space.highest(norms[at], np.abs(theirs - mine[:, at][:, None]).max(0))
-        open_to = np.flatnonzero(chance >= bar)
-        open_to = open_to[np.argsort(-chance[open_to], kind="stable")]
-        scores, owners = np.zeros(0), np.zeros(0, np.int64)
-        start, step = 0, 4 * keep
-        while start < len(open_to) and chance[open_to[start]] >= bar:
-            part = open_to[start : start + step]
-            got = x[part] @ q[at]
-            part, got = part[got >= bar], got[got >= bar]
-            took = widths[part]
-            steps = np.arange(took.sum()) - np.repeat(np.cumsum(took) - took, took)
-            scores = np.append(scores, np.repeat(got, took))
-            owners = np.append(owners, ids[np.repeat(cuts[part], took) + steps])
-            if len(scores) > keep:
-                first = np.lexsort((owners, -scores))[:keep]
-                scores, owners = scores[first], owners[first]
-                bar = max(bar, scores[-1])
-            start, step = start + step, 2 * step
-        if len(scores):
-            out.append((np.full(len(scores), at, np.int32), scores.astype(np.int64), owners))
-    return tuple(map(np.concatenate, zip(*out))) if out else (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    for start in range(0, len(order), STEP):
+        part = order[start : start + STEP]
+        open_to = np.flatnonzero(space.highest(norms, apart[part[0]]) >= bars)
+        if not len(open_to):
+            break
+        got = q[open_to] @ x[part].T
+        tops[open_to] = np.partition(np.hstack([tops[open_to], got]), -keep, axis=1)[:, -keep:]
+        bars[open_to] = np.maximum(bars[open_to], tops[open_to].min(1))
+        rows, columns = np.nonzero(got >= bars[open_to][:, None])
+        out.append((open_to[rows], got[rows, columns], part[columns]))
+    at, scores, found = map(np.concatenate, zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
+    enough = scores >= bars[at]  # bars rise with every step
+    at, scores, found = at[enough], scores[enough], found[enough]
+    took = np.diff(cuts)[found]
+    steps = np.arange(took.sum()) - np.repeat(np.cumsum(took) - took, took)
+    at, scores, owners = np.repeat(at, took), np.repeat(scores, took), ids[np.repeat(cuts[found], took) + steps]
+    sorted_by = np.lexsort((owners, -scores, at))
+    at, scores, owners = at[sorted_by], scores[sorted_by], owners[sorted_by]
+    best = np.arange(len(at)) - np.searchsorted(at, at) < keep
+    return at[best].astype(np.int32), scores[best].astype(np.int64), owners[best]
 
 
 def search(vectors: DataFrame, asks: Column, k: int = 20) -> DataFrame:

@@ -129,6 +129,21 @@ def test_search_eliminates(spark, monkeypatch):
     assert (chance >= np.sort(scores, axis=1)[:, -21][:, None]).mean() < 0.3
 
 
+def test_search_evaluates_a_pair_of_blocks_in_steps(monkeypatch):
+    """All queries of a block share a step; ties across steps go to the smaller ids."""
+    monkeypatch.setattr(pivot_search, "STEP", 16)
+    made = np.random.default_rng(5)
+    x, q = made.integers(-3, 4, (150, 5)), made.integers(-3, 4, (20, 5))
+    ids = made.permutation(300)
+    space = pivot_search._Space(float((x * x).sum(1).max()), x[:4].astype(float))
+    pair = {"n": 20, "m": 150, "vectors": pivot_search._packed(q), "theirs": pivot_search._packed(x)}
+    pair |= {"ids": ids.tolist(), "cuts": list(range(0, 301, 2)), "to_beat": None}
+    at, scores, found = pivot_search._search(space, pair, 7)
+    for n in range(20):
+        wanted = sorted((-int(q[n] @ x[i // 2]), int(ids[i])) for i in range(300))[:7]
+        assert sorted(zip((-scores[at == n]).tolist(), found[at == n].tolist())) == wanted
+
+
 def test_search_in_a_pair_of_blocks_returns_what_reaches_the_score_to_beat():
     x = np.arange(40).reshape(20, 2)
     space = pivot_search._Space(float((x * x).sum(1).max()), x[:4].astype(float))
