@@ -105,6 +105,22 @@ def test_only_stretches_of_the_batch_are_compared(spark, tmp_path):
     assert store.store(feed(spark, (None, change("I", {"id": 1})), (None, change("I", {"id": 1}))), 2).count() == 1
 
 
+def test_a_long_batch_spreads_its_ids_over_few_folders(spark, tmp_path):
+    """Segments grow with the log, folders do not; narrower and wider stretches of other batches are found."""
+    def part(*places):
+        return feed(spark, *[(f"0/{place:X}", change("I", {"id": place})) for place in places])
+
+    store = Deliveries(spark, str(tmp_path), segment_bits=2)
+    assert store.store(part(*range(256, 276), *range(4000, 4010)), 0).count() == 30
+    long = part(*range(256, 4352)).unionByName(feed(spark, (None, change("I", {"id": 1}))))
+    assert store.store(long, 1).count() == 4097 - 30
+    assert len(glob.glob(f"{tmp_path}/ids*/*/batch=1")) <= 128
+    assert store.known([64], 2).count() == 4 + 44 and store.known([64], 1).count() == 4  # 256 … 303 lie in one stretch of 16 segments
+    assert store.store(part(255, 300, 5000), 2).count() == 2
+    assert store.store(long, 1).count() == 4097 - 30 and store.store(long, 3).count() == 0
+    assert store.events().count() == 4097 + 2
+
+
 def test_an_update_rewrites_only_the_buckets_it_touches(spark, tmp_path):
     schema = StructType().add("id", LongType()).add("n", LongType())
     table = Buckets(spark, str(tmp_path), schema, ("id",), buckets=8)
