@@ -115,6 +115,22 @@ def test_relation_rules_shuffle_transactions_once(spark, tmp_path):
     assert len(found) == 13 and not any(found.values())
 
 
+def test_keys_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(checks, "KEYS_PER_TASK", 100)
+    keys = spark.range(900).selectExpr("if(id < 3, null, concat('k', id % 890)) AS EventCode")
+    rules = checks.primary_key_rules({"transactions": keys}, {"transactions": 900})
+    assert "hashpartitioning(EventCode" in plan(rules) and ", 9), REPARTITION_BY_NUM" in plan(rules)
+    assert rules.first()["violations"] == 1 + 7 == checks.primary_key_rules({"transactions": keys}).first()["violations"]
+
+
+def test_lines_are_folded_to_items_in_tasks_of_few(spark, monkeypatch):
+    monkeypatch.setattr("harness.fixtures.ROWS_PER_FOLD", 1_000)
+    given = Given(spark, SF_DIR)
+    text = plan(given.items())
+    assert f", {-(-given.rows('lineitem') // 1_000)}), REPARTITION_BY_NUM" in text
+    assert text.count("hashpartitioning(l_orderkey") == 1
+
+
 def test_universe_rules_shuffle_no_key(spark):
     dimensions = {
         "vendors": spark.createDataFrame([("SELLER-000001",), ("SELLER-000001",), ("SELLER-000009",), ("SELLER-1",), (None,)], "SellerKey string"),
