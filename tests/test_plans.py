@@ -1,5 +1,7 @@
 """Physical plans: what is read, what is shuffled, and what happens to a hot key."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,6 +133,52 @@ def test_lines_are_folded_to_items_in_tasks_of_few(spark, monkeypatch):
     assert text.count("hashpartitioning(l_orderkey") == 1
 
 
+def related(spark):
+    """Small tables with orphans, NULL keys, repeated parents and repeated children."""
+    made = {
+        "markets": ("PlatCode string", [("P1",), ("P1",), (None,)]),
+        "vendors": ("SellerKey string", [("V1",), ("V2",)]),
+        "buyers": ("AcqCode string", [("B1",), (None,)]),
+        "products": ("ProdCat string, Subcategory string, ListingAge bigint, SellerPointer string", [("a", "b", 1, "V1"), ("a", "b", None, "V1")]),
+        "transactions": (
+            "EventCode string, PlatformKey string, VendorLink string, AcqLink string, EventTimestamp timestamp_ntz",
+            [("E1", "P1", "V1", "B1", None), ("E1", "P1", "V3", "B1", None), ("E2", "P9", None, None, None), (None, None, "V2", "B9", None)],
+        ),
+        "transaction_products": (
+            "EventLink string, ProdCat string, Subcategory string, ListingAge bigint, SellerPointer string",
+            [("E1", "a", "b", 1, "V1"), ("E1", "a", "b", 2, "V1"), ("E2", "a", "b", None, "V1"), ("E9", "a", "b", 1, "V1"), (None, "a", "b", 1, "V1")],
+        ),
+        "BuyerSessionAnalytics": ("acq_ref string", [("B1",), ("B2",), ("B2",), (None,)]),
+        "PaymentProcessingEvents": ("transaction_ref string, event_timestamp timestamp_ntz", [("E1", None), ("E8", None), (None, None)]),
+        "risk_analytics": ("TxnLink string", [("E1",), ("E1",), ("E7",), (None,)]),
+        "RiskModelPredictions": ("txn_link_ref string, prediction_timestamp timestamp_ntz", [("E7", None), ("E6", None), (None, None)]),
+    }
+    return {table: spark.createDataFrame(rows, schema) for table, (schema, rows) in made.items()}
+
+
+def test_references_meet_their_parents_in_one_aggregate(spark):
+    tables = related(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rules = checks.relation_rules(tables)
+        text = plan(rules)
+        found = {r["rule"]: r["violations"] for r in rules.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # No second shuffle and no sort of the keys; what meets the transactions is sorted by a number.
+    assert len(re.findall(r"hashpartitioning\(parent#\d+, key", text)) == 1 and "LeftAnti" not in text
+    assert "Sort [ref_hash" in text
+    separate = [
+        checks.item_vendor_rule(tables["transaction_products"], tables["transactions"]),
+        checks.two_items_rule(tables["transaction_products"], tables["transactions"]),
+        checks.payment_order_rule(tables["PaymentProcessingEvents"], tables["transactions"]),
+        checks.prediction_order_rule(tables["RiskModelPredictions"], tables["transactions"]),
+        checks.reference_rules(tables),
+    ]
+    assert found == {r["rule"]: r["violations"] for r in checks.union(separate).collect()}
+    assert found["transactions.AcqLink -> buyers"] == 2 and found["RiskModelPredictions.txn_link_ref -> risk_analytics"] == 2
+
+
 def test_universe_rules_shuffle_no_key(spark):
     dimensions = {
         "vendors": spark.createDataFrame([("SELLER-000001",), ("SELLER-000001",), ("SELLER-000009",), ("SELLER-1",), (None,)], "SellerKey string"),
