@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harness.fixtures import Given
-from harness.queries import history
+from harness.queries import QUERIES, history
 from souklake.operators import checks, gold, silver, synth
 from souklake.schemas import TABLES, Domain
 from souklake.sources.tables import spread
@@ -117,22 +117,6 @@ def test_relation_rules_shuffle_transactions_once(spark, tmp_path):
     assert len(found) == 13 and not any(found.values())
 
 
-def test_keys_are_dealt_by_their_number(spark, monkeypatch):
-    monkeypatch.setattr(checks, "KEYS_PER_TASK", 100)
-    keys = spark.range(900).selectExpr("if(id < 3, null, concat('k', id % 890)) AS EventCode")
-    rules = checks.primary_key_rules({"transactions": keys}, {"transactions": 900})
-    assert "hashpartitioning(EventCode" in plan(rules) and ", 9), REPARTITION_BY_NUM" in plan(rules)
-    assert rules.first()["violations"] == 1 + 7 == checks.primary_key_rules({"transactions": keys}).first()["violations"]
-
-
-def test_lines_are_folded_to_items_in_tasks_of_few(spark, monkeypatch):
-    monkeypatch.setattr("harness.fixtures.ROWS_PER_FOLD", 1_000)
-    given = Given(spark, SF_DIR)
-    text = plan(given.items())
-    assert f", {-(-given.rows('lineitem') // 1_000)}), REPARTITION_BY_NUM" in text
-    assert text.count("hashpartitioning(l_orderkey") == 1
-
-
 def related(spark):
     """Small tables with orphans, NULL keys, repeated parents and repeated children."""
     made = {
@@ -179,6 +163,41 @@ def test_references_meet_their_parents_in_one_aggregate(spark):
     assert found["transactions.AcqLink -> buyers"] == 2 and found["RiskModelPredictions.txn_link_ref -> risk_analytics"] == 2
 
 
+def test_relations_and_totals_build_each_table_once(spark):
+    """Lines are read for items, products and payments, not again for every rule."""
+    for name, most in (("check_relations", 2), ("check_references", 3), ("gold_reconcile", 7)):
+        text = plan(QUERIES[name](spark, SF_DIR))
+        assert text.count("lineitem.parquet") <= most, name
+
+
+def test_reconcile_reads_each_model_once(spark, tmp_path):
+    tables = {}
+    for table in TABLES:
+        synth.history_rows(synth.row_numbers(spark, 1, 20), table, Domain(vendors=3, buyers=5, reference_rows=20)).write.parquet(f"{tmp_path}/{table}")
+        tables[table] = spark.read.parquet(f"{tmp_path}/{table}")
+    rules = checks.reconcile_rules(tables, gold.gold_models(tables))
+    reads = [line for line in plan(rules).splitlines() if "FileScan" in line]
+    # Seven tables and models are counted; the rules that compare them do not count them again.
+    assert len(reads) <= 14
+    assert len(rules.collect()) == 7
+
+
+def test_keys_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(checks, "KEYS_PER_TASK", 100)
+    keys = spark.range(900).selectExpr("if(id < 3, null, concat('k', id % 890)) AS EventCode")
+    rules = checks.primary_key_rules({"transactions": keys}, {"transactions": 900})
+    assert "hashpartitioning(EventCode" in plan(rules) and ", 9), REPARTITION_BY_NUM" in plan(rules)
+    assert rules.first()["violations"] == 1 + 7 == checks.primary_key_rules({"transactions": keys}).first()["violations"]
+
+
+def test_lines_are_folded_to_items_in_tasks_of_few(spark, monkeypatch):
+    monkeypatch.setattr("harness.fixtures.ROWS_PER_FOLD", 1_000)
+    given = Given(spark, SF_DIR)
+    text = plan(given.items())
+    assert f", {-(-given.rows('lineitem') // 1_000)}), REPARTITION_BY_NUM" in text
+    assert text.count("hashpartitioning(l_orderkey") == 1
+
+
 def test_universe_rules_shuffle_no_key(spark):
     dimensions = {
         "vendors": spark.createDataFrame([("SELLER-000001",), ("SELLER-000001",), ("SELLER-000009",), ("SELLER-1",), (None,)], "SellerKey string"),
