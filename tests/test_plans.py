@@ -196,6 +196,7 @@ def test_lines_are_folded_to_items_in_tasks_of_few(spark, monkeypatch):
     text = plan(given.items())
     assert f", {-(-given.rows('lineitem') // 1_000)}), REPARTITION_BY_NUM" in text
     assert text.count("hashpartitioning(l_orderkey") == 1
+    assert plan(given.products()).count("REPARTITION_BY_NUM") == 1
 
 
 def test_universe_rules_shuffle_no_key(spark):
